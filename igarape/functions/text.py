@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -157,11 +159,13 @@ def diagnosis_code(value: Column | str) -> Column:
 
 
 def starts_with_any(value: Column | str, prefixes: list[str]) -> Column:
-    return as_column(value).rlike("^(" + "|".join(re.escape(p) for p in prefixes) + ")")
+    text = as_column(value)
+    return reduce(or_, [text.startswith(p) for p in prefixes])
 
 
 def contains_any(value: Column | str, tokens: list[str]) -> Column:
-    return as_column(value).rlike("|".join(re.escape(t) for t in tokens))
+    text = as_column(value)
+    return reduce(or_, [text.contains(t) for t in tokens])
 
 
 def alias_or_self(value: Column | str, aliases: dict[str, str]) -> Column:

@@ -10,20 +10,44 @@ from pyspark.sql import functions as F
 
 from igarape.functions.numeric import guarded_ratio
 from igarape.operators.grid import key_grid, value_domain
-
-KEYS = ["cod_mun", "ano"]
+from igarape.operators.reshape import keys_first
+from igarape.session import cut_lineage
 
 
 def joined_on_grid(
     dimension: DataFrame, sources: Sequence[DataFrame], key: str = "cod_mun", period: str = "ano"
 ) -> DataFrame:
-    """Grid of all dimension rows and periods, each source left-joined.
+    """Grid of all dimension rows and all periods of any source, with the columns of every source.
 
-    Every source arrives aggregated to one row per key, so the joins run at grid
-    size, whatever the size of the facts behind it.
+    Each source has one row per (key, period). Instead of a chain of joins the
+    sources are stacked and merged by one aggregate, in which max only picks the
+    single value. The result, as small as the grid, is written once, because both
+    the period domain and the join need it and must not scan the facts twice.
     """
-    grid = key_grid(dimension, value_domain(sources, period), period)
-    return reduce(lambda left, right: left.join(right, [key, period], "left"), sources, grid)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
+    figures = [c for c in stacked.columns if c not in (key, period)]
+    merged = stacked.dropna(subset=[key, period]).groupBy(key, period).agg(*[F.max(c).alias(c) for c in figures])
+    written = cut_lineage(merged)
+    grid = key_grid(dimension, value_domain([written], period), period)
+    return grid.join(written, [key, period], "left")
+
+
+def gold_from_sources(dimension: DataFrame, sources: Sequence[DataFrame]) -> DataFrame:
+    """One row per municipality and year with four ratios.
+
+    Among them the sources bring populacao, internacoes_total,
+    internacoes_hidricas and valor_total.
+    """
+    places = dimension.select("cod_mun", F.upper("name").alias("municipio"))
+    wide = joined_on_grid(places, sources)
+    return keys_first(wide, ["cod_mun", "municipio", "ano"]).withColumns(
+        {
+            "internacoes_total_10k": guarded_ratio("internacoes_total", "populacao", 10000.0),
+            "internacoes_hidricas_10k": guarded_ratio("internacoes_hidricas", "populacao", 10000.0),
+            "pct_internacoes_hidricas": guarded_ratio("internacoes_hidricas", "internacoes_total", 100.0),
+            "valor_medio_internacao": guarded_ratio("valor_total", "internacoes_total"),
+        }
+    )
 
 
 def gold_features(
@@ -35,15 +59,5 @@ def gold_features(
     finance: DataFrame,
     admissions: DataFrame,
 ) -> DataFrame:
-    """One row per municipality and year; all inputs are one row per (cod_mun, ano)."""
-    places = dimension.select("cod_mun", F.upper("name").alias("municipio"))
-    wide = joined_on_grid(places, [population, service, quality, climate, finance, admissions])
-    per_people = {"internacoes_total_10k": "internacoes_total", "internacoes_hidricas_10k": "internacoes_hidricas"}
-    return wide.withColumns(
-        {
-            **{name: guarded_ratio(c, "populacao", 10000.0) for name, c in per_people.items()},
-            "pct_internacoes_hidricas": guarded_ratio("internacoes_hidricas", "internacoes_total", 100.0),
-            "valor_medio_internacao": guarded_ratio("valor_total", "internacoes_total"),
-        }
-    ).select("cod_mun", "municipio", "ano", *[c for c in wide.columns if c not in ("cod_mun", "municipio", "ano")],
-             *per_people, "pct_internacoes_hidricas", "valor_medio_internacao")
+    """The gold table of the six sources, each one row per (cod_mun, ano)."""
+    return gold_from_sources(dimension, [population, service, quality, climate, finance, admissions])

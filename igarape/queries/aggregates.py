@@ -13,7 +13,7 @@ from igarape.operators.scale import minmax_summary
 from igarape.plans.climate import station_year
 from igarape.plans.water_quality import quality_by_year
 from igarape.queries import facts
-from igarape.queries.facts import money, urgent
+from igarape.queries.facts import hundredths, urgent
 from igarape.queries.registry import query, rounded, table
 
 
@@ -48,16 +48,16 @@ def monthly_admissions(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.count_if(urgent()).alias("n_urgent"),
-            F.sum(money("o_totalprice")).alias("value"),
-            F.sum(F.when(urgent(), money("o_totalprice"))).alias("value_urgent"),
+            F.sum(hundredths("o_totalprice")).alias("value"),
+            F.sum(F.when(urgent(), hundredths("o_totalprice"))).alias("value_urgent"),
         )
     )
     customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"))
     return by_customer.join(customers, "c_custkey").groupBy("nationkey", "ano", "mes").agg(
         F.sum("n").alias("internacoes_total"),
         F.sum("n_urgent").alias("internacoes_hidricas"),
-        F.sum("value").cast("double").alias("valor_total"),
-        F.coalesce(F.sum("value_urgent").cast("double"), F.lit(0.0)).alias("valor_hidricas"),
+        (F.sum("value") / 100).alias("valor_total"),
+        F.coalesce(F.sum("value_urgent") / 100, F.lit(0.0)).alias("valor_hidricas"),
     )
 
 
@@ -97,7 +97,7 @@ def _by_supplier_and_type(spark: SparkSession, folder: str) -> DataFrame:
         F.year("l_shipdate").alias("ano"),
         F.col("l_returnflag").alias("flag"),
         "l_quantity",
-        F.round(F.col("l_discount") * 100).cast("long").alias("discount"),
+        hundredths("l_discount").alias("discount"),
     )
     types = table(spark, folder, "part").select("p_partkey", "p_type")
     parameters = F.create_map(*[F.lit(x) for pair in _PARAMETERS.items() for x in pair])
@@ -231,7 +231,7 @@ def pivot_ratio_codes(spark: SparkSession, folder: str) -> DataFrame:
     sums = table(spark, folder, "lineitem").groupBy(
         F.year("l_shipdate").alias("ano"), F.concat("l_returnflag", "l_linestatus").alias("codigo")
     ).agg(
-        F.sum(F.round(F.col("l_discount") * 100).cast("long") * quantity).cast("double").alias("numerador"),
+        F.sum(hundredths("l_discount") * quantity).cast("double").alias("numerador"),
         (F.sum(quantity).cast("double") * 100).alias("denominador"),
     )
     scales = F.create_map(

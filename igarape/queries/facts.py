@@ -5,7 +5,7 @@ samples and service figures. Facts are summed per join key and year before they
 are joined, so that a customer or supplier with very many rows is collapsed by
 partial aggregation and the joins see one row per key and year.
 
-Money is summed as decimal: the total then does not depend on task order.
+Money is summed in whole cents: the total is exact and does not depend on task order.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ URGENT = ["1-", "2-"]
 FIRST_YEAR, LAST_YEAR = 1995, 2001
 
 
-def money(column: str) -> Column:
-    return F.col(column).cast("decimal(15,2)")
+def hundredths(column: str) -> Column:
+    """A number with two decimals as a whole number of hundredths."""
+    return F.rint(F.col(column) * 100).cast("long")
 
 
 def urgent() -> Column:
@@ -49,8 +50,8 @@ def orders_by_customer_year(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.count_if(urgent()).alias("n_urgent"),
-            F.sum(money("o_totalprice")).alias("value"),
-            F.sum(F.when(urgent(), money("o_totalprice"))).alias("value_urgent"),
+            F.sum(hundredths("o_totalprice")).alias("value"),
+            F.sum(F.when(urgent(), hundredths("o_totalprice"))).alias("value_urgent"),
         )
     )
 
@@ -66,8 +67,8 @@ def admissions(spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("populacao"),
             F.sum("n").alias("internacoes_total"),
             F.sum("n_urgent").alias("internacoes_hidricas"),
-            F.sum("value").cast("double").alias("valor_total"),
-            F.coalesce(F.sum("value_urgent").cast("double"), F.lit(0.0)).alias("valor_hidricas"),
+            (F.sum("value") / 100).alias("valor_total"),
+            F.coalesce(F.sum("value_urgent") / 100, F.lit(0.0)).alias("valor_hidricas"),
         )
     )
     return totals.join(nations(spark, folder), "nationkey").drop("nationkey", "name")
@@ -90,9 +91,9 @@ def supplies(spark: SparkSession, folder: str) -> DataFrame:
             _quantity(flag == "A").alias("flag_a"),
             _quantity(flag == "N").alias("flag_n"),
             _quantity(flag == "R").alias("flag_r"),
-            F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("discount"),
-            F.sum(F.round(F.col("l_tax") * 100).cast("long")).alias("tax"),
-            F.sum(money("l_extendedprice")).alias("price"),
+            F.sum(hundredths("l_discount")).alias("discount"),
+            F.sum(hundredths("l_tax")).alias("tax"),
+            F.sum(hundredths("l_extendedprice")).alias("price"),
         )
     )
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
@@ -105,8 +106,9 @@ def supplies(spark: SparkSession, folder: str) -> DataFrame:
     return totals.join(nations(spark, folder), "nationkey").drop("nationkey", "name")
 
 
-def service(spark: SparkSession, folder: str) -> DataFrame:
-    total = F.col("quantity")
+def supplier_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """(cod_mun, ano): service, quality, climate and finance figures."""
+    total, decided = F.col("quantity"), F.col("flag_a") + F.col("flag_r")
     return supplies(spark, folder).select(
         "cod_mun",
         "ano",
@@ -115,30 +117,10 @@ def service(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("flag_n") * 100 / total).alias("idx_coleta_esgoto"),
         F.when(F.col("flag_r") * 100 < total * 35, F.col("flag_r") * 100 / total).alias("idx_tratamento_esgoto"),
         (F.col("discount") / F.col("items")).alias("idx_perdas_distribuicao"),
-    )
-
-
-def quality(spark: SparkSession, folder: str) -> DataFrame:
-    decided = F.col("flag_a") + F.col("flag_r")
-    return supplies(spark, folder).select(
-        "cod_mun", "ano", guarded_ratio(F.col("flag_a") * 100, decided).alias("pct_conformes_global")
-    )
-
-
-def climate(spark: SparkSession, folder: str) -> DataFrame:
-    return supplies(spark, folder).select(
-        "cod_mun",
-        "ano",
-        F.col("quantity").alias("chuva_total_mm"),
-        (F.col("quantity") / F.col("items")).alias("temp_media_c"),
-    )
-
-
-def finance(spark: SparkSession, folder: str) -> DataFrame:
-    return supplies(spark, folder).select(
-        "cod_mun",
-        "ano",
-        (F.col("price").cast("double") / F.col("items")).alias("despesa_saude_pc"),
+        guarded_ratio(F.col("flag_a") * 100, decided).alias("pct_conformes_global"),
+        total.alias("chuva_total_mm"),
+        (total / F.col("items")).alias("temp_media_c"),
+        (F.col("price") / 100 / F.col("items")).alias("despesa_saude_pc"),
         (F.col("tax") / F.col("items")).alias("pct_despesa_investimentos_saude"),
     )
 
@@ -147,9 +129,7 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
     """The gold stand-in: nation and year, with admission rates and supplier figures."""
     facts = admissions(spark, folder)
     names = nations(spark, folder).select("cod_mun", F.upper("name").alias("municipio"))
-    joined = facts.join(names, "cod_mun")
-    for part in (service, quality, climate, finance):
-        joined = joined.join(part(spark, folder), ["cod_mun", "ano"], "left")
+    joined = facts.join(names, "cod_mun").join(supplier_figures(spark, folder), ["cod_mun", "ano"], "left")
     return joined.withColumns(
         {
             "populacao": F.col("populacao").cast("double"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from igarape.plans.gold import gold_features
+from igarape.plans.gold import gold_from_sources
 from igarape.queries import facts
 from igarape.queries.registry import query, rounded
 
@@ -37,15 +37,6 @@ LEFT JOIN srv s ON g.cod_mun = s.cod_mun AND g.ano = s.ano
 @query("gold_features", GOLD_SQL)
 def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Nation x year grid with population, service, quality, climate, finance and admissions."""
-    admissions = facts.admissions(spark, folder)
-    population = admissions.select("cod_mun", "ano", F.col("populacao").cast("double").alias("populacao"))
-    wide = gold_features(
-        facts.nations(spark, folder),
-        population,
-        facts.service(spark, folder),
-        facts.quality(spark, folder),
-        facts.climate(spark, folder),
-        facts.finance(spark, folder),
-        admissions.drop("populacao"),
-    )
-    return rounded(wide)
+    admissions = facts.admissions(spark, folder).withColumn("populacao", F.col("populacao").cast("double"))
+    sources = [admissions, facts.supplier_figures(spark, folder)]
+    return rounded(gold_from_sources(facts.nations(spark, folder).drop("nationkey"), sources))

@@ -105,15 +105,18 @@ _ARTICLES = ["the", "der", "el", "le"]
     SELECT doc_id, CAST(header_row AS INTEGER) AS header_row, n_lines - header_row - 1 AS rows_after FROM hits""",
 )
 def grid_header_detect(spark: SparkSession, folder: str) -> DataFrame:
-    lines = lines_after(table(spark, folder, "documents"), ["doc_id"], "text", skip=0)
+    documents = table(spark, folder, "documents").select(
+        "doc_id", "text", F.size(F.split("text", "\n", -1)).alias("height")
+    )
+    keys = ["doc_id", "height"]
+    lines = lines_after(documents, keys, "text", skip=0)
     cells = lines.filter(F.col("line_no") < 30).select(
-        "doc_id", "line_no", F.explode(F.split("line", " ", -1)).alias("word")
+        *keys, "line_no", F.explode(F.split("line", " ", -1)).alias("word")
     )
     tests = [F.col("word").isin(_ARTICLES), F.contains("word", F.lit("en"))]
-    headers = first_matching_row(cells, ["doc_id"], "line_no", tests, "header_row")
-    heights = lines.groupBy("doc_id").agg(F.count("*").alias("height"))
-    return headers.join(heights, "doc_id").select(
-        "doc_id", "header_row", (F.col("height") - F.col("header_row") - 1).alias("rows_after")
+    headers = first_matching_row(cells, keys, "line_no", tests, "header_row")
+    return headers.select(
+        "doc_id", "header_row", (F.col("height") - F.col("header_row") - 1).cast("long").alias("rows_after")
     )
 
 

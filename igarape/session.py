@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,32 @@ def build_session(app_name: str = "igarape", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local folder is used only in local mode, where there is no cluster to share it with.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    global _local_folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="igarape-")
+    return _local_folder
+
+
+_local_folder: str | None = None
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` so that iterative work restarts from files, not from the sources.
+    """Write `df` to the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local
-    folder is used only in local mode, where there is no cluster to share it with.
+    What follows restarts from these files, not from the sources, also after an
+    executor is lost. Parquet keeps column pruning and gives joins a known size.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="igarape-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{_shared_folder(spark).rstrip('/')}/igarape-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
