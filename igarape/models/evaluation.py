@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,19 +64,25 @@ def cross_validated(
     group: str = "cod_mun",
     target: str = TARGET,
     folds: int = MAX_FOLDS,
+    parallelism: int = 4,
 ) -> DataFrame:
     """(model, mae, rmse, r2): means over folds of the metrics on left-out groups, least MAE first.
 
-    The table with its folds is checkpointed, because every fit reads it again.
+    The table with its folds is written once, because every fit reads it again.
     """
     table = cut_lineage(df.join(group_folds(df, group, folds), group))
     numbers = sorted(r.fold for r in table.select("fold").distinct().collect())
-    scored = []
-    for name, estimator in models.items():
-        for number in numbers:
-            fitted = fit_pipeline(table.filter(F.col("fold") != number), features, estimator, target)
-            left_out = fitted.predict(table.filter(F.col("fold") == number), "previsto")
-            scored.append(left_out.select(F.lit(name).alias("model"), "fold", target, "previsto"))
+
+    def left_out_predictions(name: str, number: int) -> DataFrame:
+        fitted = fit_pipeline(table.filter(F.col("fold") != number), features, models[name], target)
+        predicted = fitted.predict(table.filter(F.col("fold") == number), "previsto")
+        return predicted.select(F.lit(name).alias("model"), "fold", target, "previsto")
+
+    # Fits are independent, so several are submitted at a time; Spark schedules their jobs side by side.
+    tasks = [(name, number) for name in models for number in numbers]
+    session = df.sparkSession
+    with ThreadPoolExecutor(parallelism) as pool:
+        scored = list(pool.map(inheritable_thread_target(session)(lambda t: left_out_predictions(*t)), tasks))
     per_fold = regression_metrics(reduce(DataFrame.union, scored), target, "previsto", ["model", "fold"])
     means = per_fold.groupBy("model").agg(*[F.avg(m).alias(m) for m in ("mae", "rmse", "r2")])
     return means.orderBy("mae", "model")
