@@ -49,22 +49,24 @@ def _folding_tables() -> tuple[str, str, dict[str, str]]:
 
 
 _FOLD_FROM, _FOLD_TO, _FOLD_SEVERAL = _folding_tables()
+_COMBINING = "".join(chr(point) for point in range(0x0300, 0x0370))
 _NON_ASCII = r"[^\x00-\x7F]"
+_BEYOND_COMMON = r"[^\x00-\x7F\u00C0-\u0131]"
 
 
 def strip_accents(value: Column | str) -> Column:
     """Drop combining marks after compatibility decomposition; other scripts are kept."""
     text = as_column(value)
-    folded = F.translate(text, _FOLD_FROM, _FOLD_TO)
-    folded = F.regexp_replace(folded, r"[\u0300-\u036F]", "")
+    # Marks come last in the source and have no target, so they are deleted.
+    folded = F.translate(text, _FOLD_FROM + _COMBINING, _FOLD_TO)
     expanded = folded
     for char, replacement in _FOLD_SEVERAL.items():
         expanded = F.replace(expanded, F.lit(char), F.lit(replacement))
-    wide = "[" + "".join(re.escape(c) for c in _FOLD_SEVERAL) + "]"
-    # Plain ASCII rows, the common case, skip both branches.
+    # Plain ASCII (as many bytes as characters) is returned as it is, and text whose other
+    # characters are common accented letters skips the characters that become several.
     return (
-        F.when(~text.rlike(_NON_ASCII), text)
-        .when(text.rlike(wide), expanded)
+        F.when(F.octet_length(text) == F.length(text), text)
+        .when(text.rlike(_BEYOND_COMMON), expanded)
         .otherwise(folded)
     )
 
