@@ -115,27 +115,35 @@ def run_gold(
     replace_with_csv_twin(table.orderBy("cod_mun", "ano"), out_parquet, out_csv)
 
 
-def _analysis(spark: SparkSession, gold_path: str, municipalities: str, service: str | None) -> DataFrame:
-    second = spark.read.parquet(service) if service else None
-    return analysis.analysis_table(spark.read.parquet(gold_path), _dimension(spark, municipalities), second)
-
-
 def run_analysis(
     spark: SparkSession, gold_path: str, municipalities: str, out_dir: str, service: str | None = None
 ) -> None:
-    """Priority panel and goals tracker, exported with one shared time; the analysis table for modelling."""
-    table = f"{out_dir}/analysis.parquet"
-    replace_table(_analysis(spark, gold_path, municipalities, service), table)
-    written = spark.read.parquet(table)
+    """The analysis table for modelling, and the products answering each question, exported with one shared time."""
+    dimension = _dimension(spark, municipalities)
+    gold_table = spark.read.parquet(gold_path)
+    second = spark.read.parquet(service) if service else None
+    target = f"{out_dir}/analysis.parquet"
+    replace_table(analysis.analysis_table(gold_table, dimension, second), target)
+    table = spark.read.parquet(target)
+    products = {
+        "coverage_by_year": analysis.coverage_by_year(gold_table, dimension),
+        "missing_pairs": analysis.missing_pairs(gold_table, dimension),
+        "driver_correlations": analysis.driver_correlations(table),
+        "lag_correlation": analysis.lag_correlation(table),
+        "latest_ranking": analysis.latest_ranking(table),
+        "group_return": analysis.group_return(table),
+        "priority_panel": analysis.priority_panel(table),
+        "goals_tracker": analysis.goals_tracker(table),
+    }
     now = generation_time()
-    export_csv(stamped(analysis.priority_panel(written), now), f"{out_dir}/priority_panel.csv")
-    export_csv(stamped(analysis.goals_tracker(written), now), f"{out_dir}/goals_tracker.csv")
+    for name, product in products.items():
+        export_csv(stamped(product, now), f"{out_dir}/{name}.csv")
 
 
 def run_models(
     spark: SparkSession, analysis_path: str, out_dir: str, holdout_year: int = HOLDOUT_YEAR, **options
 ) -> None:
-    """Metrics, importances, predictions and scenarios, exported with one shared time."""
+    """Metrics, importances, predictions, scenarios and holdout errors, exported with one shared time."""
     now = generation_time()
     tables = run_modelling(spark.read.parquet(analysis_path), holdout_year=holdout_year, **options)
     for name, table in tables.items():

@@ -13,6 +13,7 @@ from igarape.models.estimators import default_models, fit_pipeline, importance_t
 from igarape.models.evaluation import (
     best_model,
     cross_validated,
+    error_by_group,
     regression_metrics,
     temporal_split,
     with_errors,
@@ -28,7 +29,7 @@ def run_modelling(
     holdout_year: int = HOLDOUT_YEAR,
     repeats: int = PERMUTATION_REPEATS,
 ) -> dict[str, DataFrame]:
-    """Tables by name: metrics, importances, predictions, scenarios."""
+    """Tables by name: metrics, importances, predictions, scenarios and errors on the holdout year."""
     models = models or default_models()
     spark = analysis.sparkSession
     table = cut_lineage(model_table(analysis))
@@ -68,4 +69,6 @@ def run_modelling(
         "importances": own.unionByName(permuted).orderBy("tipo", F.desc("valor"), "feature"),
         "predictions": predictions.orderBy("cod_mun", "ano"),
         "scenarios": scenarios,
+        "holdout_errors": tested.select("municipio", "ano", TARGET, "y_pred", "erro_absoluto", "ape_pct"),
+        "municipality_errors": error_by_group(tested, "municipio"),
     }

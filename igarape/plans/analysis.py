@@ -72,7 +72,8 @@ def analysis_table(
         table = fallback_columns(table, service, ["cod_mun", "ano"], FALLBACK_COLUMNS)
     names = dimension.select("cod_mun", F.upper("name").alias("nome"))
     named = lookup_or_own(table, names, ["cod_mun"], "municipio", "nome")
-    filled = fill_group_then_global_median(named, ["cod_mun"], IMPUTED_COLUMNS)
+    upper = named.withColumn("municipio", F.upper("municipio"))
+    filled = fill_group_then_global_median(upper, ["cod_mun"], IMPUTED_COLUMNS)
     limited = filled.withColumns({c: clip(c, 0.0, 100.0) for c in CLIPPED_PERCENT_COLUMNS})
     derived = limited.withColumns(
         {

@@ -106,10 +106,10 @@ def supplies(spark: SparkSession, folder: str) -> DataFrame:
     return totals.join(nations(spark, folder), "nationkey").drop("nationkey", "name")
 
 
-def supplier_figures(spark: SparkSession, folder: str) -> DataFrame:
-    """(cod_mun, ano): service, quality, climate and finance figures."""
+def figures(supplied: DataFrame) -> DataFrame:
+    """(cod_mun, ano): service, quality, climate and finance figures of the supplies."""
     total, decided = F.col("quantity"), F.col("flag_a") + F.col("flag_r")
-    return supplies(spark, folder).select(
+    return supplied.select(
         "cod_mun",
         "ano",
         # Unknown where open items are scarce, so that fills have something to do.
@@ -125,11 +125,13 @@ def supplier_figures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def panel(spark: SparkSession, folder: str) -> DataFrame:
+def panel(spark: SparkSession, folder: str, supplied: DataFrame | None = None) -> DataFrame:
     """The gold stand-in: nation and year, with admission rates and supplier figures."""
+    if supplied is None:
+        supplied = supplies(spark, folder)
     facts = admissions(spark, folder)
     names = nations(spark, folder).select("cod_mun", F.upper("name").alias("municipio"))
-    joined = facts.join(names, "cod_mun").join(supplier_figures(spark, folder), ["cod_mun", "ano"], "left")
+    joined = facts.join(names, "cod_mun").join(figures(supplied), ["cod_mun", "ano"], "left")
     return joined.withColumns(
         {
             "populacao": F.col("populacao").cast("double"),

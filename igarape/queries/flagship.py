@@ -38,5 +38,5 @@ LEFT JOIN srv s ON g.cod_mun = s.cod_mun AND g.ano = s.ano
 def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Nation x year grid with population, service, quality, climate, finance and admissions."""
     admissions = facts.admissions(spark, folder).withColumn("populacao", F.col("populacao").cast("double"))
-    sources = [admissions, facts.supplier_figures(spark, folder)]
+    sources = [admissions, facts.figures(facts.supplies(spark, folder))]
     return rounded(gold_from_sources(facts.nations(spark, folder).drop("nationkey"), sources))

@@ -11,6 +11,7 @@ from igarape.operators.lookup import fallback_columns, fan_out, lookup_or_own, w
 from igarape.plans.service_indicators import repaired_codes
 from igarape.queries import facts
 from igarape.queries.registry import query, rounded, table
+from igarape.session import cut_lineage
 
 
 @query(
@@ -206,13 +207,14 @@ def coverage_by_year(spark: SparkSession, folder: str) -> DataFrame:
 )
 def fallback_coalesce(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["idx_atend_agua_total", "idx_tratamento_esgoto"]
-    second = facts.supplies(spark, folder).select(
+    supplied = cut_lineage(facts.supplies(spark, folder))
+    second = supplied.select(
         "cod_mun",
         "ano",
         (F.col("open") * 100 / F.col("quantity")).alias(columns[0]),
         (F.col("flag_r") * 100 / F.col("quantity")).alias(columns[1]),
     )
-    filled = fallback_columns(facts.panel(spark, folder), second, ["cod_mun", "ano"], columns)
+    filled = fallback_columns(facts.panel(spark, folder, supplied), second, ["cod_mun", "ano"], columns)
     return rounded(filled.select("cod_mun", "ano", *columns))
 
 

@@ -26,11 +26,11 @@ def build_session(app_name: str = "igarape", master: str | None = None, **conf:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, or set on the context.
 
     A local folder is used only in local mode, where there is no cluster to share it with.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):

@@ -1,8 +1,8 @@
 """Delimited files read by header name, although headers differ between files.
 
-Files are grouped by header line. Each group is one Spark CSV scan with its own
-schema, so files are split over tasks and only the wanted columns are parsed;
-the groups are then united by name.
+Files are grouped by where their header puts the wanted columns. Each group is
+one Spark CSV scan with its own schema, so files are split over tasks and only
+the wanted columns are parsed; the groups are then united by name.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -66,13 +67,17 @@ def read_by_header(
     header are told from data by `is_data`, applied to the first column, since a
     split of a file does not know its line numbers.
     """
-    parts = []
+    # Headers that put the wanted columns at the same places share a scan.
+    layouts = defaultdict(list)
     for line, files in first_lines(spark, paths, skip_lines, encoding).items():
         header = split_header(line, separator)
         found = positions(header, wanted, normalise)
-        schema = _string_schema([f"c{i}" for i in range(len(header))])
+        layouts[len(header), tuple(found.items())] += files
+    parts = []
+    for (width, found), files in layouts.items():
+        place = dict(found)
         rows = (
-            spark.read.schema(schema)
+            spark.read.schema(_string_schema([f"c{i}" for i in range(width)]))
             .option("sep", separator)
             .option("encoding", encoding)
             .option("header", skip_lines == 0)
@@ -84,7 +89,7 @@ def read_by_header(
         if is_data is not None:
             rows = rows.filter(is_data(F.col("c0")))
         columns = [
-            F.col(f"c{found[c]}").alias(c) if c in found else F.lit(None).cast("string").alias(c)
+            F.col(f"c{place[c]}").alias(c) if c in place else F.lit(None).cast("string").alias(c)
             for c in wanted
         ]
         parts.append(rows.select(*columns, F.col("_metadata.file_name").alias(SOURCE_FILE)))

@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def open_path(path: str):
     """Open a file of any file system pyarrow knows (local, HDFS, object stores)."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        path = "file:///" + rest.lstrip("/")
+    elif scheme in ("s3a", "s3n"):
+        path = "s3:" + rest
     system, inner = fs.FileSystem.from_uri(path)
     return system.open_input_file(inner)
 

@@ -242,6 +242,35 @@ def test_goals_tracker(spark, chain):
     assert goals.gerado_em.nunique() == 1
 
 
+def test_other_products(spark, chain):
+    root, _ = chain
+    coverage = export(spark, root / "out/coverage_by_year.csv")
+    assert list(coverage.ano) == list(YEARS) and (coverage.percentual_cobertura == 1.0).all()
+    assert spark.read.option("header", True).csv(f"{root}/out/missing_pairs.csv").count() == 0
+    analysis = table(spark, root / "out/analysis.parquet")
+    drivers = export(spark, root / "out/driver_correlations.csv").set_index("indicador").correlacao_com_taxa
+    assert drivers["chuva_total_mm"] == pytest.approx(analysis.chuva_total_mm.corr(analysis.internacoes_hidricas_10k))
+    assert list(drivers.abs()) == sorted(drivers.abs(), reverse=True)
+    lag = export(spark, root / "out/lag_correlation.csv").correlacao_chuva_lag1[0]
+    assert lag == pytest.approx(analysis.chuva_total_mm_lag1.corr(analysis.internacoes_hidricas_10k))
+    ranking = export(spark, root / "out/latest_ranking.csv")
+    assert set(ranking.ano) == {2025} and ranking.score_priorizacao.is_monotonic_decreasing and len(ranking) == 8
+    returns = export(spark, root / "out/group_return.csv").set_index("municipio")
+    one = analysis[analysis.municipio == "BARCARENA"]
+    expected = one.pct_despesa_investimentos_saude.corr(one.internacoes_hidricas_10k)
+    found = returns.loc["BARCARENA"].elasticidade_inv_taxa
+    assert (pd.isna(found) and pd.isna(expected)) or found == pytest.approx(expected)
+
+
+def test_missing_pairs(spark, chain, dimension):
+    from igarape.plans.analysis import missing_pairs
+
+    root, _ = chain
+    gold = spark.read.parquet(str(root / "gold.parquet")).filter("NOT (ano = 2020 AND municipio LIKE 'B%')")
+    found = [(r.municipio, r.ano) for r in missing_pairs(gold, dimension).collect()]
+    assert found == [("BARCARENA", 2020), ("BELÉM", 2020), ("BENEVIDES", 2020)]
+
+
 def test_model_exports(spark, chain):
     root, _ = chain
     metrics = export(spark, root / "out/model_metrics.csv")
@@ -255,6 +284,10 @@ def test_model_exports(spark, chain):
     importances = export(spark, root / "out/model_importances.csv")
     assert set(importances.tipo) == {"model_importance", "permutation_importance"}
     assert importances.groupby("tipo").size().nunique() == 1
+    errors = export(spark, root / "out/model_holdout_errors.csv")
+    by_name = export(spark, root / "out/model_municipality_errors.csv").set_index("municipio")
+    assert len(errors) == 8
+    assert (errors.set_index("municipio").erro_absoluto - by_name.mae).abs().max() < 1e-9
     scenarios = export(spark, root / "out/model_scenarios.csv")
     assert len(scenarios) == 6
     assert (scenarios.impacto_min_taxa <= scenarios.impacto_medio_taxa + 1e-12).all()
