@@ -7,27 +7,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from igarape.operators.medians import exact_medians
+
+
+def _builtin_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
+
 
 def fill_group_then_global_median(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str]
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], key_grain: bool = True
 ) -> DataFrame:
     """Fill NULLs by the median of the group, then by the median of the filled column.
 
-    Exact medians, all columns in one aggregate per step. The group medians form
-    a small table that is joined back; the global ones are one row read as a
-    scalar. Meant for tables at key grain (municipality x year): a group holds
-    one row per year.
+    All columns share one aggregate per step. The group medians form a small
+    table that is joined back; the global ones are one row read as a scalar.
+
+    key_grain: the table has one row per key and period (municipality x year), so
+    a group is short and the built-in median may hold it. Otherwise the medians
+    are found without gathering a group.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    medians = df.groupBy(*keys).agg(*[F.median(c).alias(f"_median_{c}") for c in present])
+    medians_of = _builtin_medians if key_grain else exact_medians
+    medians = medians_of(df, keys, present).withColumnsRenamed({c: f"_median_{c}" for c in present})
     filled = (
         df.join(medians, list(keys), "left")
         .withColumns({c: F.coalesce(c, f"_median_{c}") for c in present})
         .select(*df.columns)
     )
-    overall = filled.agg(F.struct(*[F.median(c).alias(c) for c in present])).scalar()
+    overall = medians_of(filled, [], present).select(F.struct(*present)).scalar()
     # One struct column, so that the plan holds the scalar once and not once per filled column.
     return (
         filled.withColumn("_overall", overall)

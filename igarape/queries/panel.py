@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from igarape.constants import IMPUTED_COLUMNS, PRIORITY_EDGES, PRIORITY_LABELS, PRIORITY_PANEL_COLUMNS, SCORE_WEIGHTS
 from igarape.functions.numeric import goal_status, guarded_ratio, right_closed_label
 from igarape.operators.impute import fill_group_then_global_median
+from igarape.operators.medians import exact_medians
 from igarape.operators.scale import repair_columns
 from igarape.plans import analysis
 from igarape.queries import facts
@@ -75,6 +76,45 @@ def impute_median(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(filled.select("cod_mun", "ano", *IMPUTED_COLUMNS))
 
 
+_ROW_FILL_SQL = """WITH readings AS (
+  SELECT event_id, event_type, CASE WHEN event_type <> 'error' AND value >= 20 THEN value END AS leitura,
+         CASE WHEN value < 100 THEN floor(value) END AS faixa FROM events),
+med AS (SELECT event_type, median(leitura) AS l, median(faixa) AS f FROM readings GROUP BY 1),
+grouped AS (SELECT event_id, coalesce(leitura, l) AS leitura, coalesce(faixa, f) AS faixa FROM readings JOIN med USING (event_type))
+"""
+
+
+@query(
+    "impute_median_rows",
+    f"""{_ROW_FILL_SQL} SELECT event_id, round(coalesce(leitura, (SELECT median(leitura) FROM grouped)), 6) AS leitura,
+      round(coalesce(faixa, (SELECT median(faixa) FROM grouped)), 6) AS faixa FROM grouped""",
+)
+def impute_median_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same fill on raw rows, where a group has no size limit."""
+    value = F.col("value")
+    readings = table(spark, folder, "events").select(
+        "event_id",
+        "event_type",
+        F.when((F.col("event_type") != "error") & (value >= 20), value).alias("leitura"),
+        F.when(value < 100, F.floor(value).cast("double")).alias("faixa"),
+    )
+    filled = fill_group_then_global_median(readings, ["event_type"], ["leitura", "faixa"], key_grain=False)
+    return rounded(filled.select("event_id", "leitura", "faixa"))
+
+
+@query(
+    "group_medians",
+    """SELECT user_id, round(median(value), 6) AS value, round(median(CASE WHEN value < 3 THEN 0 ELSE floor(value / 10) END), 6) AS classe
+    FROM events GROUP BY 1""",
+)
+def group_medians(spark: SparkSession, folder: str) -> DataFrame:
+    value = F.col("value")
+    readings = table(spark, folder, "events").select(
+        "user_id", "value", F.when(value < 3, 0.0).otherwise(F.floor(value / 10).cast("double")).alias("classe")
+    )
+    return rounded(exact_medians(readings, ["user_id"], ["value", "classe"]))
+
+
 _DEFICITS = ["deficit_atendimento", "deficit_tratamento", "alerta_qualidade", "perdas_excesso"]
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from igarape.operators.lookup import (
     require_all_found,
     with_canonical_code,
 )
+from igarape.operators.medians import exact_medians
 from igarape.operators.ordering import first_row_per_key, occurrence_number, previous_by_key
 from igarape.operators.reshape import cells_to_columns, keys_first, project_known, with_missing_columns
 from igarape.operators.scale import minmax_summary, with_minmax
@@ -79,6 +81,33 @@ def test_median_fill_order(spark):
     assert filled[("c", 1)] == 3.0
 
 
+@pytest.mark.parametrize("key_grain", [True, False])
+def test_median_fill_both_ways(spark, key_grain):
+    rows = spark.createDataFrame(
+        [("a", 1, 1.0), ("a", 2, None), ("a", 3, 4.0), ("b", 1, 10.0), ("c", 1, None)], "k string, i int, x double"
+    )
+    filled = {(r.k, r.i): r.x for r in fill_group_then_global_median(rows, ["k"], ["x"], key_grain).collect()}
+    assert filled == {("a", 1): 1.0, ("a", 2): 2.5, ("a", 3): 4.0, ("b", 1): 10.0, ("c", 1): 3.25}
+
+
+def test_exact_medians(spark):
+    rng = random.Random(11)
+    rows = [("hot", rng.lognormvariate(0, 3), float(rng.choice([0, 0, 0, 1, 2]))) for _ in range(60001)]
+    rows += [("even", float(i), None) for i in range(40000)]
+    rows += [("two", 1.0, 5.0), ("two", 2.0, 5.0), ("one", 7.0, None), ("none", None, None), (None, 3.0, 4.0)]
+    rng.shuffle(rows)
+    frame = pd.DataFrame(rows, columns=["k", "x", "y"])
+    df = spark.createDataFrame(rows, "k string, x double, y double").repartition(8)
+    expected = frame.groupby("k", dropna=False)[["x", "y"]].median()
+    found = {r.k: (r.x, r.y) for r in exact_medians(df, ["k"], ["x", "y"]).collect()}
+    assert set(found) == {"hot", "even", "two", "one", None}
+    for key, (x, y) in found.items():
+        row = expected[expected.index.isna()].iloc[0] if key is None else expected.loc[key]
+        assert x == row.x and (y == row.y or (y is None and pd.isna(row.y)))
+    whole = exact_medians(df, [], ["x", "y"]).collect()
+    assert [tuple(r) for r in whole] == [(frame.x.median(), frame.y.median())]
+
+
 def test_minmax(spark):
     rows = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "x double, k double")
     scaled = [(r.s_x, r.s_k) for r in with_minmax(rows, ["x", "k"], "s_").collect()]

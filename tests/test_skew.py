@@ -26,7 +26,7 @@ NAMES = [
     "gold_features", "annual_sums", "monthly_admissions", "quality_two_level", "pivot_classes", "pivot_ratio_codes",
     "best_row_per_key", "dedupe_names_cumcount", "alias_pattern_match", "station_year_climate", "heat_days",
     "station_fanout", "semi_join_dim", "canonical_code_lookup", "coverage_by_year", "max_all_numeric",
-    "group_kfold_assign", "group_null_keys", "classify_rules", "priority_panel",
+    "group_kfold_assign", "group_null_keys", "classify_rules", "priority_panel", "impute_median_rows", "group_medians",
 ]
 
 
