@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     job("climate", input_dir="data/bronze/inmet", output_dir="data/silver/inmet")
     job(
         "finance",
-        input="data/bronze/siops/siops_indicadores_rmb_2018_2025.csv",
+        input="data/bronze/siops/*.csv",
         municipios=_MUNICIPALITIES,
         out="data/silver/siops",
     )
@@ -39,12 +39,12 @@ def parser() -> argparse.ArgumentParser:
         silver_dir="data/silver",
         service="data/gold/snis/v2.parquet",
         municipios=_MUNICIPALITIES,
-        out_parquet="data/gold/gold_features_ano.parquet",
-        out_csv="data/gold/gold_features_ano.csv",
+        out_parquet="data/gold/features.parquet",
+        out_csv="data/gold/features.csv",
     )
     job(
         "analysis",
-        gold="data/gold/gold_features_ano.parquet",
+        gold="data/gold/features.parquet",
         service=None,
         municipios=_MUNICIPALITIES,
         out_dir="data/exports",
