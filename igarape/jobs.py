@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from igarape.constants import HOLDOUT_YEAR
+from igarape.functions.numeric import decimal_comma, to_number
 from igarape.models.run import run_modelling
 from igarape.plans import (
     admissions,
@@ -45,8 +46,11 @@ def _require_rows(df: DataFrame, what: str) -> None:
 def run_admissions(
     spark: SparkSession, csv_dir: str, municipalities: str, out_dir: str, separator: str = ","
 ) -> None:
+    """Files separated by semicolons are taken to have a decimal comma."""
     raw = admissions.read_admissions(spark, f"{csv_dir}/RDPA*.csv", separator)
-    silver = admissions.admissions_silver(raw, _dimension(spark, municipalities, members_only=False))
+    dimension = _dimension(spark, municipalities, members_only=False)
+    number = decimal_comma if separator == ";" else to_number
+    silver = admissions.admissions_silver(raw, dimension, number=number)
     replace_table(silver, out_dir, ["ano", "mes"])
     written = spark.read.schema(ADMISSIONS_SILVER).parquet(out_dir)
     _require_rows(written, "no admission matched the municipalities")

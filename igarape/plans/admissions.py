@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from igarape.constants import ADMISSION_MEASURES, WATERBORNE_PREFIXES
@@ -23,10 +23,16 @@ def read_admissions(spark: SparkSession, paths: str | list[str], separator: str
 
 
 def admissions_silver(
-    raw: DataFrame, dimension: DataFrame, prefixes: Sequence[str] = WATERBORNE_PREFIXES
+    raw: DataFrame,
+    dimension: DataFrame,
+    prefixes: Sequence[str] = WATERBORNE_PREFIXES,
+    number: Callable[[str], Column] = to_number,
 ) -> DataFrame:
     """Totals and waterborne totals per municipality and month.
 
+    `number` reads the measures: to_number, or decimal_comma for files written
+    with a decimal comma.
+
     The dimension is small enough to be broadcast, so the only shuffle is that of
     the partial sums.
     """
@@ -36,8 +42,8 @@ def admissions_silver(
         to_whole("ANO_CMPT").alias("ano"),
         to_whole("MES_CMPT").alias("mes"),
         waterborne.alias("hidrica"),
-        F.coalesce(to_number("DIAS_PERM"), F.lit(0.0)).alias("dias"),
-        F.coalesce(to_number("VAL_TOT"), F.lit(0.0)).alias("valor"),
+        F.coalesce(number("DIAS_PERM"), F.lit(0.0)).alias("dias"),
+        F.coalesce(number("VAL_TOT"), F.lit(0.0)).alias("valor"),
     )
     names = either_key(dimension).select(
         "lookup_code", "cod_mun", upper_ascii("name").alias("municipio")

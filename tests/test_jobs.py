@@ -294,6 +294,36 @@ def test_model_exports(spark, chain):
     assert (scenarios.impacto_medio_taxa <= scenarios.impacto_max_taxa + 1e-12).all()
 
 
+def test_semicolon_admissions_have_a_decimal_comma(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(MUNICIPALITIES, encoding="utf-8")
+    (tmp_path / "RDPA2001.csv").write_text(
+        "ANO_CMPT;MES_CMPT;MUNIC_RES;DIAG_PRINC;DIAS_PERM;VAL_TOT\n2020;1;150140;A09;2;1234,5\n2020;1;130260;A09;2;9\n"
+    )
+    jobs.run_admissions(spark, str(tmp_path), str(tmp_path / "m.csv"), str(tmp_path / "out"), ";")
+    row = spark.read.parquet(str(tmp_path / "out")).first()
+    assert (row.cod_mun, row.valor_hidricas, row.dias_perm_total) == ("1501402", 1234.5, 2.0)
+
+
+def test_no_matching_admission_is_an_error(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(MUNICIPALITIES, encoding="utf-8")
+    (tmp_path / "RDPA2001.csv").write_text("ANO_CMPT,MES_CMPT,MUNIC_RES,DIAG_PRINC,DIAS_PERM,VAL_TOT\n2020,1,1,A,1,1\n")
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.run_admissions(spark, str(tmp_path), str(tmp_path / "m.csv"), str(tmp_path / "out"))
+
+
+def test_member_share(spark, dimension):
+    from igarape.plans.admissions import member_share
+
+    raw = spark.createDataFrame([("150140",), ("1501402",), ("130260",), (None,)], "MUNIC_RES string")
+    assert member_share(raw, dimension).first().asDict() == {"registros": 4, "registros_membros": 2, "pct_membros": 50.0}
+
+
+def test_municipality_list(spark, chain):
+    root, _ = chain
+    found = jobs.municipality_list(f"{root}/silver/ibge_populacao", f"{root}/municipalities.csv", spark).collect()
+    assert [r.cod_mun for r in found] == sorted(CODES) and found[0].municipio == "ANANINDEUA"
+
+
 def test_command_line_options():
     args = parser().parse_args(["admissions", "--csv-dir", "a", "--municipios", "b", "--out-dir", "c", "--chunksize", "5"])
     assert (args.job, args.csv_dir, args.municipios, args.out_dir) == ("admissions", "a", "b", "c")
