@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from igarape.constants import (
@@ -130,7 +130,8 @@ def quality_by_year(by_parameter: DataFrame) -> DataFrame:
         "sisagua_amostras_conformes": "amostras_conformes",
         "sisagua_amostras_nao_conformes": "amostras_nao_conformes",
     }
-    def of(parameter: str, value: str):
+
+    def of(parameter: str, value: str) -> Column:
         # One row per (municipality, year, parameter), so max only picks the value.
         return F.max(F.when(F.col("parametro") == parameter, F.col(value)))
 
@@ -140,5 +141,5 @@ def quality_by_year(by_parameter: DataFrame) -> DataFrame:
         *[of(p, "percentil_95").alias(f"percentil95_{p}") for p in PERCENTILE_PARAMETERS],
     )
     overall = guarded_ratio("sisagua_amostras_conformes", "sisagua_amostras_total", 100.0)
-    return wide.select("cod_mun", "ano", *totals, overall.alias("pct_conformes_global"),
-                       *[c for c in wide.columns if c.startswith(("pct_conformes_", "percentil95_"))])
+    by_column = [c for c in wide.columns if c.startswith(("pct_conformes_", "percentil95_"))]
+    return wide.select("cod_mun", "ano", *totals, overall.alias("pct_conformes_global"), *by_column)
