@@ -1,9 +1,11 @@
-"""Session construction and lineage cutting."""
+"""Session construction, the shared folder for intermediate tables, and lineage cutting."""
 
 from __future__ import annotations
 
-import tempfile
+import io
+import os
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,35 +24,79 @@ def build_session(app_name: str = "igarape", master: str | None = None, **conf:
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``, or set on the context.
+def _file_system(spark: SparkSession, folder: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    A local folder is used only in local mode, where there is no cluster to share it with.
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables of this application; it goes when the application ends.
+
+    It lies below ``spark.checkpoint.dir`` (or the context's checkpoint folder). Where neither is
+    set it lies below the warehouse, which executors share as well, in every mode.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    global _local_folder
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="igarape-")
-    return _local_folder
+    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    parent = parent or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{parent.rstrip('/')}/_igarape-{spark.sparkContext.applicationId}"
+    if folder not in _known:
+        file_system, path = _file_system(spark, folder)
+        file_system.mkdirs(path)
+        file_system.deleteOnExit(path)
+        _known.add(folder)
+    return folder
+
+
+_known: set[str] = set()
+
 
+def scratch_path(spark: SparkSession, label: str = "table") -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
-_local_folder: str | None = None
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete intermediate tables that no later step reads."""
+    for item in paths:
+        file_system, path = _file_system(spark, item)
+        file_system.delete(path, True)
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
+
+def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write `df` to the shared folder and read it back. This runs `df` at once.
 
     What follows restarts from these files, not from the sources, also after an
     executor is lost. Parquet keeps column pruning and gives joins a known size.
     """
-    spark = df.sparkSession
-    path = f"{_shared_folder(spark).rstrip('/')}/igarape-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which unpickle its functions by name."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(here)))
+    # Spark copies the file to each executor; only the driver reads this copy.
+    path = os.path.join(context._temp_dir, "igarape.zip")
+    with open(path, "wb") as target:
+        target.write(packed.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
