@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -22,7 +23,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def map_arrow(
-    df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]
+    df: DataFrame, schema: str | StructType, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]
 ) -> DataFrame:
     """Apply to each Arrow batch what `start`, called once in each task, returns."""
 

@@ -11,6 +11,12 @@ from igarape.llm.line_runs import without_repeated_lines
 from igarape.llm.packing import pack, pieces
 from igarape.llm.quality_rules import judge
 from igarape.llm.registry import QUERIES, SQL, query
+from igarape.llm.secret_scan import RULES, scan
+from igarape.llm.simhash import near_duplicates
+from igarape.llm.spotsigs import compare_with_edits
+from igarape.llm.url_filter import judge as judge_urls
+from igarape.llm.warc import read_archives, write_archives
+from igarape.session import scratch_path
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -31,3 +37,33 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query("op1_warc", sql.WARC)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    write_archives(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    records = read_archives(spark, path)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_secret_scan", sql.SECRETS)
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(read_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "secrets.*")
+    counts = [F.col("counts")[i].alias(f"n_{RULES[i].kind}") for i in range(len(RULES))]
+    return found.select("doc_id", *counts, "base_sha256", "spans")
+
+
+@query("op4_simhash")
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op5_spotsigs")
+def spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op7_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read_table(spark, sf_dir, "pages", "page_id", "url")).drop("url")

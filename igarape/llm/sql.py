@@ -60,3 +60,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND CAST(n_dup_lines AS DOUBLE) <= CAST(0.3 AS DOUBLE) * n_lines AS kept
 FROM judged
 """
+
+WARC = """
+WITH docs AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), first AS (
+    SELECT hex, min(page_id) AS low FROM docs GROUP BY hex
+), fives AS (
+    SELECT hex, low, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)) AS v FROM first
+), named AS (
+    SELECT hex, low, array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((v[j // 4 + 1] >> (15 - 5 * (j % 4))) & 31 AS INTEGER) + 1, 1)), '') AS digest FROM fives
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> low THEN low END AS refers_to
+FROM docs JOIN named USING (hex)
+"""
+
+
+_KINDS = (
+    (
+        "assign",
+        "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
+        "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?[A-Za-z0-9+/_.=-]+",
+        "[A-Za-z0-9+/_.=-]{12}$",
+    ),
+    ("access", "AKIA[A-Z0-9]+", "^.{18}"),
+    ("hex", "[0-9a-f]+", "^.{16}"),
+    ("private_key", "-----BEGIN (RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----+", "."),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", "^.{40}"),
+)
+
+
+def _spans(number: int, kind: str, pattern: str, enough: str) -> str:
+    """Rows (doc_id, kind, a, b): the pattern's matches with their text before, added up to places."""
+    return f"""
+    SELECT doc_id, {number} AS number, '{kind}' AS kind, a, b FROM (
+        SELECT doc_id, hit, i, sum(length(gap) + length(hit)) OVER w - length(hit) AS a, sum(length(gap) + length(hit)) OVER w AS b
+        FROM (
+            SELECT doc_id, unnest(gaps) AS gap, unnest(hits) AS hit, generate_subscripts(hits, 1) AS i FROM (
+                SELECT doc_id, regexp_extract_all(t, '(?s)(.*?)({pattern})', 1) AS gaps,
+                       regexp_extract_all(t, '(?s)(.*?)({pattern})', 2) AS hits FROM docs
+            )
+        ) WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    ) WHERE regexp_matches(hit, '{enough}')"""
+
+
+SECRETS = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(_spans(i, *x) for i, x in enumerate(_KINDS))}
+), told AS (
+    SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k, _, _ in _KINDS)},
+           string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, number) AS spans,
+           string_agg(kind || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY a, number)
+               FILTER (WHERE number < 3) AS base
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, _, _ in _KINDS)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (doc_id)
+"""
