@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from igarape.llm import sql
 from igarape.llm.common import read_table
+from igarape.llm.lattice_sampling import sample
 from igarape.llm.line_runs import without_repeated_lines
 from igarape.llm.packing import pack, pieces
 from igarape.llm.quality_rules import judge
@@ -16,6 +17,7 @@ from igarape.llm.simhash import near_duplicates
 from igarape.llm.spotsigs import compare_with_edits
 from igarape.llm.url_filter import judge as judge_urls
 from igarape.llm.warc import read_archives, write_archives
+from igarape.llm.weak_quality import classify
 from igarape.session import scratch_path
 
 __all__ = ["QUERIES", "SQL"]
@@ -67,3 +69,14 @@ def spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_url_filter")
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages", "page_id", "url")).drop("url")
+
+
+@query("op6_weak_quality")
+def weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op8_lattice_sampling")
+def lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sample(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
+    return drawn.withColumnRenamed("key", "doc_id")

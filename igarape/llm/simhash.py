@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.llm.common import map_arrow, texts
@@ -76,16 +76,21 @@ def fingerprint(text: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed long."""
+    """(doc_id, mark, fp): the fingerprint of each row as a signed long; `mark` is a hash of the text."""
 
     def start():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = np.array([fingerprint(x, width) for x in texts(batch.column(1))], "u8").view("i8")
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            found = np.array([fingerprint(x, width) for x in texts(batch.column(2))], "u8").view("i8")
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["doc_id", "mark", "fp"])
 
         return one
 
-    return map_arrow(docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")), "doc_id long, fp long", start)
+    plain = docs.select(F.col(doc_id).cast("long"), _mark(F.col(text)), F.col(text).cast("string"))
+    return map_arrow(plain, "doc_id long, mark long, fp long", start)
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def anchors(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -270,18 +275,36 @@ def components(edges: DataFrame) -> DataFrame:
     return both.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, bits: int = 3, split_rows: int = 4096
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id): the component is the smallest id reachable over links."""
+    """(doc_id, mark, fp, root, component_id): `root` is the smallest fingerprint of a component."""
     prints = cut_lineage(fingerprints(docs, doc_id, text, width), "fingerprints")
     distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     groups = components(links(distinct, bits, split_rows))
     rooted = distinct.join(groups, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        F.col("fp").alias("own"), "least", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("fp").alias("own"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("own")).select(
+    named = rooted.join(least, "root").select("own", "root", "component_id")
+    return prints.join(named, F.col("fp") == F.col("own")).drop("own")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
+    """(doc_id, fingerprint, component_id): the component is the smallest id reachable over links."""
+    return grouped(docs, doc_id, text, **how).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
+    """The rows of `docs` with the smallest id of each component; of equal rows, one."""
+    first = (
+        grouped(docs, doc_id, text, **how)
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "mark")).alias("row"))
+        .select(F.struct("row.doc_id", "row.mark").alias("__first"))
+    )
+    key = F.struct(F.col(doc_id).cast("long").alias("doc_id"), _mark(F.col(text)).alias("mark"))
+    kept = docs.withColumn("__key", key).join(first, F.col("__key") == F.col("__first"), "left_semi")
+    return kept.dropDuplicates(["__key"]).select(docs.columns)
