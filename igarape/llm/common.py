@@ -37,6 +37,13 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def quantile_cuts(df: DataFrame, column: str, parts: int, error: float) -> list[float]:
+    """At most `parts` - 1 ascending values that cut a numeric column into parts of about equal size."""
+    if parts < 2:
+        return []
+    return sorted(set(df.approxQuantile(column, [i / parts for i in range(1, parts)], error)))
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null becomes the empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

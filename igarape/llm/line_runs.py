@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from igarape.llm.common import WHITE, let, map_arrow, texts
+from igarape.llm.common import WHITE, let, map_arrow, quantile_cuts, texts
 from igarape.session import cut_lineage, drop_scratch, scratch_path
 
 _KEY = ["h1", "h2"]
@@ -139,16 +139,14 @@ def without_repeated_lines(
     only in the largest id holding it. Runs the batches at once.
     """
     spark = docs.sparkSession
-    cuts = docs.select(F.col(doc_id).cast("long").alias("id")).approxQuantile(
-        "id", [i / batches for i in range(1, batches)], 0.01
-    )
+    cuts = quantile_cuts(docs.select(F.col(doc_id).cast("long").alias("id")), "id", batches, 0.01)
     above = F.lit(0)
-    for value in sorted(set(cuts)):
+    for value in cuts:
         above = above + F.when(F.col("id") >= F.lit(value), 0).otherwise(1)
     keys = cut_lineage(line_keys(docs, doc_id, text, min_chars).withColumn("batch", above.cast("int")), "line-keys")
 
     runs = LineRuns(spark)
-    for number in range(len(set(cuts)) + 1):
+    for number in range(len(cuts) + 1):
         runs.add(keys.filter(F.col("batch") == number))
 
     common = runs.rows().filter(F.col("n") >= min_docs).select(*_KEY, "keeper")

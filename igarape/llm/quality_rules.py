@@ -46,7 +46,7 @@ MORE_RULES = (
     Rule("symbols", "n_symbols", "n_words", most=0.1),
     Rule("shouting", "n_marks", "n_words", most=0.3),
     Rule("stop_words", "n_stop_words", "n_words", least=0.02),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=0.3),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=0.6),
 )
 
 

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from igarape.llm.common import let
+from igarape.llm.common import let, quantile_cuts
 from igarape.llm.quality_rules import STOP_WORDS
 
 
@@ -105,7 +105,7 @@ def _in_order(docs: DataFrame, blocks: int) -> tuple[DataFrame, Window]:
     block as its ghost, and the first text of all ends the last; so no task sees more than a block.
     """
     spark = docs.sparkSession
-    cuts = sorted(set(docs.approxQuantile("id", [i / blocks for i in range(1, blocks)], 0.25 / blocks)))
+    cuts = quantile_cuts(docs, "id", blocks, 0.25 / blocks)
     limits = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<double>")
     steps = [1 << i for i in reversed(range(max(1, len(cuts)).bit_length()))]
     here = F.col("id").cast("double")

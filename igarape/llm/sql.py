@@ -57,7 +57,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND CAST(n_symbols AS DOUBLE) <= CAST(0.1 AS DOUBLE) * n_words
        AND CAST(n_marks AS DOUBLE) <= CAST(0.3 AS DOUBLE) * n_words
        AND CAST(n_stop AS DOUBLE) >= CAST(0.02 AS DOUBLE) * n_words
-       AND CAST(n_dup_lines AS DOUBLE) <= CAST(0.3 AS DOUBLE) * n_lines AS kept
+       AND CAST(n_dup_lines AS DOUBLE) <= CAST(0.6 AS DOUBLE) * n_lines AS kept
 FROM judged
 """
 

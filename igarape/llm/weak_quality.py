@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +51,19 @@ def votes(text: str, words: list[str]) -> tuple[int, ...]:
     lines = [x for x in text.split("\n") if x.strip()]
     mean = sum(map(len, words)) / n
     return (
-        _between(len(words), 5, 40),
+        _between(len(words), 1, 20),
         _most(symbols / n, 0.02, 0.2),
         _most(text.count("!") / n, 0.1, 0.4),
         _most(upper / n, 0.2, 0.5),
-        _between(stops / n, 0.03, 0.1),
+        _between(stops / n, 0.03, 0.1) if len(words) >= 20 else ABSTAIN,
         1 if 2.5 <= mean <= 12 else 0,
         _between(len(set(words)) / n, 0.2, 0.35),
         _most(1 - len(set(lines)) / max(1, len(lines)), 0.1, 0.4),
+        _most(sum(map(eq, words, words[1:])) / n, 0.05, 0.2),
     )
 
 
-LABELLERS = 8
+LABELLERS = 9
 
 
 def pattern(cast: tuple[int, ...]) -> int:
@@ -77,7 +79,7 @@ def _digits(patterns: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """`share` of good texts; `chances`[labeller, class, vote]."""
+    """`share` of good texts; `chances`[labeller, class, vote]. Abstaining tells nothing."""
 
     share: float
     chances: np.ndarray
@@ -85,7 +87,8 @@ class LabelModel:
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         """Probability that a text with these votes is good."""
         digits = _digits(np.asarray(patterns))
-        logs = np.log(self.chances)[np.arange(LABELLERS)[None, :], :, digits].sum(axis=1)
+        told = np.concatenate((np.log(self.chances), np.zeros((LABELLERS, 2, 1))), axis=2)
+        logs = told[np.arange(LABELLERS)[None, :], :, digits].sum(axis=1)
         logs = logs + np.log([1 - self.share, self.share])
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -700, 700)))
 
@@ -96,19 +99,22 @@ class LabelModel:
         return right / (right + wrong)
 
 
-#: Expected shares of votes bad, good and abstaining among bad and among good texts: labellers look
-#: for different faults, so that a bad text has few bad votes and a good text next to none.
-PRIOR = np.array([[0.2, 0.7, 0.1], [0.002, 0.898, 0.1]])
+#: Expected shares of votes bad and good among bad and among good texts: labellers look for different
+#: faults, so that a bad text has few bad votes and a good text next to none.
+PRIOR = np.array([[0.2, 0.8], [0.002, 0.998]])
 
 
-def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, strength: float = 0.03) -> LabelModel:
+def fit_labels(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, strength: float = 0.03, alarms: float = 0.01
+) -> LabelModel:
     """Expectation-maximisation over pattern counts, begun at the majority vote.
 
-    `PRIOR` counts as much as `strength` of all texts in each class. Without it, two classes
-    split the texts by the most frequent fault only.
+    `PRIOR` counts as much as `strength` of all texts in each class, and a labeller's share of bad
+    votes among good texts is held at `alarms` or less. Without that, the two classes split the
+    texts by one frequent fault and count texts with another as good.
     """
     if not len(patterns):
-        return LabelModel(0.5, np.broadcast_to(PRIOR, (LABELLERS, 2, 3)))
+        return LabelModel(0.5, np.broadcast_to(PRIOR, (LABELLERS, 2, 2)))
     digits = _digits(patterns)
     prior = strength * counts.sum() + 1
     good, bad = (digits == 1).sum(axis=1), (digits == 0).sum(axis=1)
@@ -117,10 +123,12 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, stre
     for _ in range(rounds):
         weights = np.stack([counts * (1 - belief), counts * belief], axis=1)
         share = (weights[:, 1].sum() + 1) / (weights.sum() + 2)
-        chances = np.empty((LABELLERS, 2, 3))
-        for vote in range(3):
+        chances = np.empty((LABELLERS, 2, 2))
+        for vote in range(2):
             chances[:, :, vote] = (digits == vote).T.astype(float) @ weights + prior * PRIOR[:, vote]
         chances /= chances.sum(axis=2, keepdims=True)
+        wrong = np.minimum(chances[:, 1, 0], alarms)
+        chances[:, 1] = np.stack([wrong, 1 - wrong], axis=1)
         model = LabelModel(float(share), chances)
         new = model.posterior(patterns)
         if np.abs(new - belief).max() < 1e-9:
@@ -187,7 +195,10 @@ def classify(
     size: int = 1 << 16,
     least: float = 0.5,
 ) -> DataFrame:
-    """(doc_id, pattern, posterior, score, kept). The labels and the scorer are fitted at once."""
+    """(doc_id, pattern, posterior, score, kept): kept if posterior and score are `least` on average.
+
+    The labels and the scorer are fitted at once.
+    """
     context = docs.sparkSession.sparkContext
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -256,8 +267,9 @@ def classify(
             found = np.array(found, "i8")
             belief = model.posterior(found)
             score = np.array([b if s is None else s for s, b in zip(scores, belief.tolist())], "f8")
+            kept = (score + belief) / 2 >= least
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found), pa.array(belief), pa.array(score), pa.array(score >= least)],
+                [batch.column(0), pa.array(found), pa.array(belief), pa.array(score), pa.array(kept)],
                 ["doc_id", "pattern", "posterior", "score", "kept"],
             )
 
