@@ -104,11 +104,12 @@ class Model:
                 value = F.coalesce(mixed, value)
             return value
 
-        def mean(cells: Column) -> Column:
-            each = F.transform(cells, lambda c: F.log(chance(c, tables[0])) - F.log(chance(c, tables[1])))
+        def mean(cells: Column, accepted: Column, rejected: Column) -> Column:
+            each = F.transform(cells, lambda c: F.log(chance(c, accepted)) - F.log(chance(c, rejected)))
             return F.aggregate(each, F.lit(0.0), lambda total, x: total + x) / F.size(cells)
 
-        return let(self.cells(url), mean)
+        # Each table is written once in the plan, as a constant.
+        return let(tables[0], lambda a: let(tables[1], lambda r: let(self.cells(url), lambda c: mean(c, a, r))))
 
 
 def _framed(url: Column) -> Column:
@@ -119,7 +120,7 @@ def _held_out(url: Column) -> Column:
     return F.pmod(F.xxhash64(url), F.lit(5)) == 0
 
 
-def fit(decided: DataFrame, order: int = 4, buckets: int = 1 << 14, prior: float = 2.0) -> Model:
+def fit(decided: DataFrame, order: int = 4, buckets: int = 1 << 13, prior: float = 2.0) -> Model:
     """Models of rows (url, verdict), with the cut set on the held-out ones."""
     spark = decided.sparkSession
     empty = Model(order, buckets, prior, "", "")
