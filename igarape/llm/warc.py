@@ -59,11 +59,15 @@ def _frame(number: int, content: bytes) -> bytes:
 
 
 def archive(records: list[bytes], dictionary_bytes: int = 1 << 15, level: int = 3) -> bytes:
-    """Bytes of an archive, up to the line end that the text sink adds."""
+    """Bytes of an archive, up to the line end that the text sink adds.
+
+    The dictionary has at most `dictionary_bytes`, and a twentieth of the records' size.
+    """
+    size = min(dictionary_bytes, max(1024, sum(map(len, records)) // 20))
     try:
-        words = zstandard.train_dictionary(dictionary_bytes, records, k=256, d=8).as_bytes()
+        words = zstandard.train_dictionary(size, records, k=256, d=8).as_bytes()
     except zstandard.ZstdError:  # too few records to build one: their beginning serves as raw content
-        words = b"".join(records)[:dictionary_bytes]
+        words = b"".join(x[:size] for x in records)[:size]
     trained = zstandard.ZstdCompressionDict(words)
     press = zstandard.ZstdCompressor(level=level, dict_data=trained, write_checksum=True)
     parts = [_frame(DICTIONARY_FRAME, words), *[press.compress(x) for x in records]]
