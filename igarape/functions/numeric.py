@@ -34,6 +34,11 @@ def decimal_comma(value: Column | str) -> Column:
     return to_number(F.when(F.contains(kept, F.lit(",")), grouped).otherwise(kept))
 
 
+def decimal_comma_number(value: Column | str) -> Column:
+    """The comma is the decimal sign and nothing else is repaired: "12abc" and "1.234,5" are NULL, "1e3" is 1000."""
+    return to_number(F.translate(as_column(value).cast("string"), ",", "."))
+
+
 # --- fixed values: words read as missing by the strict reading ---------------
 _MISSING_WORDS = ["na", "nan", "null", "none", "sem informacao"]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import reduce
 from itertools import chain
@@ -16,24 +17,16 @@ def as_column(value: Column | str) -> Column:
 
 
 def _folding_tables() -> tuple[str, str, dict[str, str]]:
-    """Compatibility decomposition without combining marks, worked out by rule.
+    """Compatibility decomposition without combining marks, worked out by rule over the whole code range.
 
-    Covers Latin letters with marks, super- and subscripts, ligatures, full-width
-    forms and a few symbols. Returns one-to-one source and target texts plus the
-    characters that become several.
+    Only composed Hangul syllables are left as they are; they have no marks. Returns one-to-one
+    source and target texts plus the characters that become several.
     """
-    blocks = chain(
-        range(0x00A0, 0x0250),
-        range(0x1E00, 0x1F00),
-        range(0x2024, 0x2027),
-        range(0x2070, 0x20A0),
-        range(0x2116, 0x2123),
-        range(0xFB00, 0xFB07),
-        range(0xFF01, 0xFF5F),
-    )
     source, target, several = [], [], {}
-    for point in blocks:
+    for point in chain(range(0x80, 0xAC00), range(0xE000, sys.maxunicode + 1)):
         char = chr(point)
+        if not unicodedata.decomposition(char):
+            continue
         base = "".join(
             c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
         )
@@ -48,9 +41,10 @@ def _folding_tables() -> tuple[str, str, dict[str, str]]:
 
 
 _FOLD_FROM, _FOLD_TO, _FOLD_SEVERAL = _folding_tables()
-_COMBINING = "".join(chr(point) for point in range(0x0300, 0x0370))
+_COMBINING = "".join(chr(p) for p in range(0x0300, sys.maxunicode + 1) if unicodedata.combining(chr(p)))
 _NON_ASCII = r"[^\x00-\x7F]"
 _BEYOND_COMMON = r"[^\x00-\x7F\u00C0-\u0131]"
+_SEVERAL = "[" + "".join(sorted(_FOLD_SEVERAL)) + "]"
 
 
 def strip_accents(value: Column | str) -> Column:
@@ -58,9 +52,13 @@ def strip_accents(value: Column | str) -> Column:
     text = as_column(value)
     # Marks come last in the source and have no target, so they are deleted.
     folded = F.translate(text, _FOLD_FROM + _COMBINING, _FOLD_TO)
-    expanded = folded
-    for char, replacement in _FOLD_SEVERAL.items():
-        expanded = F.replace(expanded, F.lit(char), F.lit(replacement))
+    # Each character that becomes several is found first, so the look-ups are as many as those.
+    sources, targets = (F.split(F.lit("\x01".join(x)), "\x01") for x in (_FOLD_SEVERAL, _FOLD_SEVERAL.values()))
+    table = F.map_from_arrays(sources, targets)
+    found = F.regexp_extract_all(folded, F.lit(f"({_SEVERAL})"), F.lit(1))
+    between = F.split(folded, _SEVERAL, -1)
+    written = F.zip_with(between, found, lambda text, char: F.concat(text, F.coalesce(F.try_element_at(table, char), F.lit(""))))
+    expanded = F.when(folded.rlike(_SEVERAL), F.array_join(written, "")).otherwise(folded)
     # Plain ASCII (as many bytes as characters) is returned as it is, and text whose other
     # characters are common accented letters skips the characters that become several.
     return (
@@ -103,9 +101,9 @@ def label_slug(value: Column | str) -> Column:
 
 
 def compact_slug(value: Column | str) -> Column:
-    """Slug that deletes punctuation and joins words by underscores."""
-    text = F.regexp_replace(F.lower(to_ascii(value)), "[^a-z0-9_\\s]", "")
-    return F.btrim(F.regexp_replace(text, r"\s+", "_"), F.lit("_"))
+    """Slug that deletes all but letters, digits, underscores and blanks, and joins words by underscores."""
+    text = F.regexp_replace(F.lower(to_ascii(value)), "[^a-z0-9_ ]", "")
+    return F.btrim(F.regexp_replace(text, " +", "_"), F.lit("_"))
 
 
 def clean_label(value: Column | str) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from igarape.constants import HOLDOUT_YEAR
-from igarape.functions.numeric import decimal_comma, to_number
+from igarape.functions.numeric import decimal_comma_number, to_number
 from igarape.models.run import run_modelling
+from igarape.operators.scale import minmax_summary
 from igarape.plans import (
     admissions,
     analysis,
@@ -18,8 +19,8 @@ from igarape.plans import (
     service_indicators,
     water_quality,
 )
-from igarape.schemas import ADMISSIONS_SILVER, CLIMATE_SILVER
 from igarape.sinks.tables import (
+    checked,
     export_csv,
     generation_time,
     replace_table,
@@ -38,45 +39,39 @@ def _dimension(spark: SparkSession, path: str, members_only: bool = True) -> Dat
     return dimension
 
 
-def _require_rows(df: DataFrame, what: str) -> None:
-    if df.isEmpty():
-        raise ValueError(f"no rows: {what}")
-
-
 def run_admissions(
     spark: SparkSession, csv_dir: str, municipalities: str, out_dir: str, separator: str = ","
 ) -> None:
     """Files separated by semicolons are taken to have a decimal comma."""
     raw = admissions.read_admissions(spark, f"{csv_dir}/RDPA*.csv", separator)
     dimension = _dimension(spark, municipalities, members_only=False)
-    number = decimal_comma if separator == ";" else to_number
+    number = decimal_comma_number if separator == ";" else to_number
     silver = admissions.admissions_silver(raw, dimension, number=number)
-    replace_table(silver, out_dir, ["ano", "mes"])
-    written = spark.read.schema(ADMISSIONS_SILVER).parquet(out_dir)
-    _require_rows(written, "no admission matched the municipalities")
+    replace_table(checked(silver, "no admission matched the municipalities"), out_dir, ["ano", "mes"])
 
 
 def run_water_quality(spark: SparkSession, input_dir: str, municipalities: str, out_dir: str) -> None:
     raw = water_quality.read_water_samples(spark, input_dir)
     samples = water_quality.classified_samples(raw, _dimension(spark, municipalities))
-    replace_touched_partitions(water_quality.water_quality_silver(samples), out_dir, ["ano", "mes"])
-    _require_rows(spark.read.parquet(out_dir), "no sample matched the municipalities")
+    silver = checked(water_quality.water_quality_silver(samples), "no sample matched the municipalities")
+    replace_touched_partitions(silver, out_dir, ["ano", "mes"])
 
 
 def run_climate(spark: SparkSession, input_dir: str, out_dir: str) -> None:
     stations = read_stations(spark, f"{input_dir}/*/INMET_N_PA_*.CSV")
-    replace_touched_partitions(climate.climate_silver(stations), out_dir, ["estacao", "ano"])
-    _require_rows(spark.read.schema(CLIMATE_SILVER).parquet(out_dir), "no station file was usable")
+    silver = checked(climate.climate_silver(stations), "no station file was usable")
+    replace_touched_partitions(silver, out_dir, ["estacao", "ano"])
 
 
 def run_finance(spark: SparkSession, input_path: str, municipalities: str, out: str) -> None:
     indicators = finance.read_finance_indicators(spark, input_path)
-    replace_table(finance.finance_silver(indicators, _dimension(spark, municipalities)), out)
+    silver = finance.finance_silver(indicators, _dimension(spark, municipalities))
+    replace_table(checked(silver, "no finance indicator"), out)
 
 
 def run_population(spark: SparkSession, input_dir: str, out: str) -> None:
     rows = population.read_population(spark, f"{input_dir}/sidra6579_pop_*.csv")
-    replace_table(population.population_silver(rows), out)
+    replace_table(checked(population.population_silver(rows), "no population figure"), out)
 
 
 def run_service_indicators(
@@ -84,14 +79,14 @@ def run_service_indicators(
 ) -> None:
     """Three tables: all extracted rows, one provider per municipality, and the repaired version."""
     dimension = _dimension(spark, municipalities)
-    extracted = service_indicators.extracted_indicators(spark.read.parquet(cells), dimension)
+    extracted = checked(service_indicators.extracted_indicators(spark.read.parquet(cells), dimension), "no indicator row")
     raw = replace_with_csv_twin(extracted, f"{out_dir}/raw.parquet", f"{out_dir}/raw.csv")
     chosen = service_indicators.one_provider_per_municipality(raw)
     first = replace_with_csv_twin(chosen, f"{out_dir}/v1.parquet", f"{out_dir}/v1.csv")
     repaired = service_indicators.repaired_indicators(first, dimension)
-    replace_with_csv_twin(
-        repaired.orderBy("municipio", "ano"), f"{out_dir}/v2.parquet", f"{out_dir}/v2.csv"
-    )
+    second = replace_with_csv_twin(repaired, f"{out_dir}/v2.parquet", f"{out_dir}/v2.csv", ["municipio", "ano"])
+    numbers = [name for name, kind in second.dtypes if kind == "double"]
+    export_csv(minmax_summary(second, numbers), f"{out_dir}/v2_ranges.csv", ["coluna"])
 
 
 def run_gold(
@@ -116,7 +111,7 @@ def run_gold(
         finance.finance_by_year(read(f"{silver_dir}/siops"), dimension),
         admissions.admissions_by_year(read(f"{silver_dir}/sih"), dimension),
     )
-    replace_with_csv_twin(table.orderBy("cod_mun", "ano"), out_parquet, out_csv)
+    replace_with_csv_twin(checked(table, "gold"), out_parquet, out_csv, ["cod_mun", "ano"])
 
 
 def run_analysis(

@@ -8,42 +8,76 @@ from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.base import Estimator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import HOLDOUT_YEAR, MAX_FOLDS, TARGET
 from igarape.functions.numeric import absolute_error, absolute_percentage_error
 from igarape.models.estimators import fit_pipeline
+from igarape.operators.ordering import with_place
 from igarape.session import cut_lineage
 
 
+def fold_segments(sizes: Sequence[tuple[int, int]], folds: int) -> list[tuple[int, int, list[int]]]:
+    """(size, first rank, folds in turn) of a greedy fill: each group, the largest first, to the lightest fold.
+
+    `sizes` are (size, number of groups) in descending order of size. From its first rank
+    on, groups of a size go to the listed folds in turn, until the next segment begins. A
+    segment ends when the folds taking turns have grown up to the next lightest one, so
+    there are at most as many segments of a size as folds.
+    """
+    loads = [0] * folds
+    segments = []
+    for size, count in sizes:
+        rank = 0
+        while rank < count:
+            ranked = sorted(range(folds), key=lambda i: (loads[i], i))
+            # Folds that take a turn before the lightest one is due again.
+            turn = [i for i in ranked if (loads[i], i) < (loads[ranked[0]] + size, ranked[0])]
+            rest = [(loads[i], i) for i in ranked if i not in turn]
+            rounds = (count - rank) // len(turn)
+            if rest:
+                # Whole rounds in which the lightest is still lighter than the next fold.
+                gap = rest[0][0] - loads[turn[0]]
+                rounds = min(rounds, max(1, -(-gap // size) - 1))
+            taken = min(count - rank, max(rounds, 1) * len(turn))
+            segments.append((size, rank, turn))
+            for place, fold in enumerate(turn):
+                loads[fold] += size * (taken // len(turn) + (place < taken % len(turn)))
+            rank += taken
+    return segments
+
+
 def group_folds(df: DataFrame, group: str, folds: int = MAX_FOLDS) -> DataFrame:
     """(group, fold): groups from largest to smallest, each to the fold with the fewest rows so far.
 
-    Filling folds is sequential, so it runs as one fold over the list of group
-    sizes. That list is as long as the municipality dimension, not the facts.
-    Equal sizes are taken by descending group.
+    Equal sizes are taken by descending group. The fill is worked out over the
+    distinct sizes and their counts, which are few however many groups there are;
+    groups are numbered by a range-partitioned sort and read their fold off.
     """
-    sizes = df.groupBy(group).agg(F.count("*").alias("size"))
-    listed = sizes.agg(
-        F.sort_array(F.collect_list(F.struct("size", group)), asc=False).alias("groups")
-    ).withColumn("folds", F.least(F.lit(folds), F.size("groups")))
-    start = F.struct(
-        F.transform(F.sequence(F.lit(1), F.col("folds")), lambda _: F.lit(0).cast("long")).alias("loads"),
-        F.expr("cast(array() as array<int>)").alias("chosen"),
+    sizes = cut_lineage(df.groupBy(group).agg(F.count("*").alias("size")), "group-sizes")
+    counts = [(row["size"], row["count"]) for row in sizes.groupBy("size").count().collect()]
+    counts.sort(reverse=True)
+    total = sum(n for _, n in counts)
+    if not total:
+        return sizes.select(group, F.lit(0).alias("fold"))
+    first, before = {}, 0
+    for size, n in counts:
+        first[size] = before
+        before += n
+    rows = [
+        (size, first[size] + rank, [int(x) for x in turn])
+        for size, rank, turn in fold_segments(counts, min(folds, total))
+    ]
+    ends = [row[1] for row in rows[1:]] + [total]
+    spark = df.sparkSession
+    segments = spark.createDataFrame(
+        [(*row, end) for row, end in zip(rows, ends)], "of_size long, begin long, turn array<int>, end long"
     )
-
-    def place(state: Column, item: Column) -> Column:
-        loads = state["loads"]
-        lightest = F.array_position(loads, F.array_min(loads)).cast("int") - 1
-        heavier = F.transform(
-            loads, lambda load, i: F.when(i == lightest, load + item["size"]).otherwise(load)
-        )
-        return F.struct(heavier.alias("loads"), F.array_append(state["chosen"], lightest).alias("chosen"))
-
-    chosen = listed.select("groups", F.aggregate("groups", start, place, lambda s: s["chosen"]).alias("chosen"))
-    pairs = F.inline(F.arrays_zip("groups", "chosen"))
-    return chosen.select(pairs).select(F.col(f"groups.{group}").alias(group), F.col("chosen").alias("fold"))
+    placed = with_place(sizes, [F.desc("size"), F.desc(group)], "place")
+    fits = (F.col("size") == F.col("of_size")) & (F.col("place") >= F.col("begin")) & (F.col("place") < F.col("end"))
+    inside = (F.col("place") - F.col("begin")) % F.size("turn")
+    return placed.join(segments, fits).select(group, F.get("turn", inside.cast("int")).alias("fold"))
 
 
 def regression_metrics(df: DataFrame, observed: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import PERCENT_NAME_STARTS, PERMUTATION_REPEATS, SCENARIOS, SEED, TARGET
 from igarape.functions.numeric import clip
 from igarape.models.estimators import FittedPipeline
-
-# Rows among which values are exchanged; more rows are dealt into random blocks of about this size.
-_BLOCK_ROWS = 100_000
-
+from igarape.operators.ordering import with_place
 
 def permutation_importance(
     fitted: FittedPipeline,
@@ -22,44 +19,30 @@ def permutation_importance(
     target: str = TARGET,
     repeats: int = PERMUTATION_REPEATS,
     seed: int = SEED,
-    block_rows: int = _BLOCK_ROWS,
 ) -> DataFrame:
     """(feature, valor): absolute mean rise of MAE when the feature's values are exchanged.
 
-    `keys` identify a row. Every feature and repeat is a random order of the rows;
-    the row at place p of the key order receives the value of the row at place p
-    of the random order. All of them are scored in one pass.
+    `keys` identify a row. Every repeat is one random order of all rows, shared by
+    the features: the row at place p of the key order receives the values of the
+    row at place p of the random order. Places come from a range-partitioned sort,
+    so no task holds a whole order; features are exploded after the join, where
+    nothing is shuffled any more, and all of them are scored in one pass.
     """
     features = fitted.preprocessing.features
-    blocks = max(1, -(-df.count() // block_rows))
-    block = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(blocks))
-    base = df.select(*keys, target, *features, block.alias("block"))
-    placed = base.withColumn(
-        "place", F.row_number().over(Window.partitionBy("block").orderBy(*keys))
-    )
-
-    exchanged = base.select(
-        *keys,
-        "block",
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features]
-            )
-        ),
-    ).select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
-    # Hash collisions would only fall back to the key order.
-    random_order = Window.partitionBy("feature", "repeat", "block").orderBy(
-        F.xxhash64(F.lit(seed), "feature", "repeat", *keys), *keys
-    )
-    dealt = exchanged.select(
-        "feature", "repeat", "block", "value", F.row_number().over(random_order).alias("place")
+    base = df.select(*keys, target, *[F.col(c).cast("double").alias(c) for c in features])
+    rows = df.count()
+    placed = with_place(base, [F.col(k) for k in keys], "place").drop(*keys)
+    dealt = base.select(
+        *keys, F.struct(*features).alias("other"), F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     )
-    joined = dealt.join(placed.drop(*keys), ["block", "place"])
-    swapped = joined.withColumns(
-        {c: F.when(F.col("feature") == c, F.col("value")).otherwise(F.col(c).cast("double")) for c in features}
+    # Equal hashes only fall back to the key order.
+    shuffled = with_place(dealt, [F.col("repeat"), F.xxhash64(F.lit(seed), "repeat", *keys), *map(F.col, keys)], "index")
+    others = shuffled.select("other", (F.col("index") - (F.col("repeat") - 1) * F.lit(rows)).alias("place"))
+    joined = others.join(placed, "place")
+    swapped = joined.withColumn("swapped_feature", F.explode(F.array(*map(F.lit, features)))).withColumns(
+        {c: F.when(F.col("swapped_feature") == c, F.col(f"other.{c}")).otherwise(F.col(c)) for c in features}
     )
-    renamed = swapped.withColumnsRenamed({"feature": "swapped_feature"})
-    scored = fitted.predict(renamed.select("swapped_feature", target, *features), "predicted")
+    scored = fitted.predict(swapped.select("swapped_feature", target, *features), "predicted")
     permuted = scored.groupBy("swapped_feature").agg(
         F.avg(F.abs(F.col("predicted") - F.col(target))).alias("mae")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import FEATURE_CANDIDATES, TARGET
+from igarape.operators.medians import exact_medians
 
 
 def feature_names(df: DataFrame, candidates: Sequence[str] = tuple(FEATURE_CANDIDATES)) -> list[str]:
@@ -55,11 +56,11 @@ class Preprocessing:
 def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessing:
     """Medians, then means and deviations of the imputed columns; a constant column is divided by 1.
 
-    Exact medians: the training table has one row per municipality and year. A
-    column without any value takes 0.
+    Exact medians, found without gathering a column's values. A column without
+    any value takes 0.
     """
-    medians = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in features]).first()
-    medians = {c: medians[c] if medians[c] is not None else 0.0 for c in features}
+    row = exact_medians(train, [], features).first()
+    medians = {c: row[c] if row and row[c] is not None else 0.0 for c in features}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in features}
     moments = train.agg(
         *[F.avg(x).alias(f"mean_{c}") for c, x in filled.items()],

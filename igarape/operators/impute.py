@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.operators.medians import exact_medians
+from igarape.session import cut_lineage
 
 
 def _builtin_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -20,7 +21,8 @@ def fill_group_then_global_median(
     """Fill NULLs by the median of the group, then by the median of the filled column.
 
     All columns share one aggregate per step. The group medians form a small
-    table that is joined back; the global ones are one row read as a scalar.
+    table that is joined back. The table filled by group is written once; the
+    global medians are one row, learnt from it without gathering the values.
 
     key_grain: the table has one row per key and period (municipality x year), so
     a group is short and the built-in median may hold it. Otherwise the medians
@@ -36,10 +38,8 @@ def fill_group_then_global_median(
         .withColumns({c: F.coalesce(c, f"_median_{c}") for c in present})
         .select(*df.columns)
     )
-    overall = medians_of(filled, [], present).select(F.struct(*present)).scalar()
-    # One struct column, so that the plan holds the scalar once and not once per filled column.
-    return (
-        filled.withColumn("_overall", overall)
-        .withColumns({c: F.coalesce(c, f"_overall.{c}") for c in present})
-        .drop("_overall")
-    )
+    written = cut_lineage(filled, "filled")
+    overall = exact_medians(written, [], present).first()
+    kinds = dict(df.dtypes)
+    known = {c: F.lit(overall[c]).cast(kinds[c]) for c in present if overall and overall[c] is not None}
+    return written.withColumns({c: F.coalesce(c, value) for c, value in known.items()})

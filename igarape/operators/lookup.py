@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.functions.text import digits_only, zero_fill
+from igarape.session import cut_lineage
 
 
 def either_key(dimension: DataFrame) -> DataFrame:
@@ -73,13 +74,18 @@ def fallback_columns(
     return joined.withColumns(filled).drop(*[f"_second_{c}" for c in shared])
 
 
-def require_all_found(df: DataFrame, dimension: DataFrame, key: str, shown: int = 100) -> None:
-    """Raise, naming codes of `df` that the dimension lacks."""
-    missing = df.select(key).join(dimension.select(key), key, "left_anti").distinct()
-    # The limit bounds only the error message.
-    codes = [str(row[0]) for row in missing.orderBy(key).limit(shown).collect()]
-    if codes:
-        raise ValueError(f"codes without a municipality: {', '.join(codes)}")
+def require_all_found(df: DataFrame, dimension: DataFrame, key: str) -> None:
+    """Raise with the number of codes of `df` that the dimension lacks, and where they are all listed.
+
+    Only the key column is read. The first codes are named; the whole list is a table in the
+    shared folder, since it may be as long as the input.
+    """
+    missing = df.select(key).distinct().join(dimension.select(key), key, "left_anti")
+    listed = cut_lineage(missing.orderBy(key), "codes-without-municipality")
+    total = listed.count()
+    if total:
+        first = ", ".join(str(row[0]) for row in listed.orderBy(key).limit(20).collect())
+        raise ValueError(f"{total} codes without a municipality, all in {listed.inputFiles()[0]}: {first}")
 
 
 def fan_out(df: DataFrame, bridge: DataFrame, key: str) -> DataFrame:

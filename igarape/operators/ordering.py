@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from igarape.session import cut_lineage
+
 # Rows of one key that a single task may number, if the order column is unique.
 _BLOCK = 1 << 20
 
@@ -25,6 +27,24 @@ def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
+def with_place(df: DataFrame, order: Sequence[Column], into: str) -> DataFrame:
+    """Number the rows from 0 in the given order, which should be unique. Runs `df` at once.
+
+    Rows are range-partitioned and sorted, and written with their place within the
+    partition; the sizes of the partitions before it, one number each, complete it.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    written = cut_lineage(ordered.withColumn(into, F.monotonically_increasing_id()), "ordered")
+    part, inside = F.shiftright(into, 33), F.col(into).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = written.groupBy(part.alias("part")).count().collect()
+    before, total = {}, 0
+    for number, size in sorted((row["part"], row["count"]) for row in sizes):
+        before[number] = total
+        total += size
+    shift = F.try_element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), part) if before else F.lit(0)
+    return written.withColumn(into, (inside + shift).cast("long"))
+
+
 def occurrence_number(
     df: DataFrame, keys: Sequence[str], order: str, into: str, block: int = _BLOCK
 ) -> DataFrame:

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def sum_by_class(
-    df: DataFrame, keys: Sequence[str], class_column: str, value: str, classes: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    class_column: str,
+    value: str,
+    classes: Mapping[str, str],
+    nullable: Collection[str] = (),
 ) -> DataFrame:
-    """One column per class with the sum of `value`, 0 where a class is absent.
+    """One column per class with the sum of `value`; an absent class is 0, or NULL if in `nullable`.
 
     Conditional sums in a single aggregate: one shuffle, with partial sums made
     before it.
     """
-    sums = [
-        F.coalesce(F.sum(F.when(F.col(class_column) == name, F.col(value))), F.lit(0.0)).alias(column)
-        for name, column in classes.items()
-    ]
+    sums = []
+    for name, column in classes.items():
+        total = F.sum(F.when(F.col(class_column) == name, F.col(value)))
+        sums.append((total if name in nullable else F.coalesce(total, F.lit(0.0))).alias(column))
     return df.groupBy(*keys).agg(*sums)
 
 

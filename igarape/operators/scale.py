@@ -1,4 +1,4 @@
-"""Scaling by whole-table statistics, read as a one-row scalar."""
+"""Scaling by whole-table statistics, read as one row."""
 
 from __future__ import annotations
 
@@ -8,27 +8,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.functions.numeric import repair_scale
+from igarape.operators.medians import exact_medians
 
 # A spread up to this size counts as constant.
 _CONSTANT = 1e-8
 
 
 def with_minmax(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
-    """Add (x - min) / (max - min) per column under prefix + name; a constant column gives 0."""
-    stats = df.agg(
-        F.struct(
-            *[F.min(c).alias(f"low_{c}") for c in columns],
-            *[F.max(c).alias(f"high_{c}") for c in columns],
-        )
-    ).scalar()
+    """Add (x - min) / (max - min) per column under prefix + name; a constant column gives 0.
+
+    NULLs take the column's median first. One aggregate finds the limits and the
+    columns with NULLs; medians are only worked out for those. `df` should be a
+    written table, since its statistics are read at once.
+    """
+    row = df.agg(
+        *[F.min(F.col(c).cast("double")).alias(f"low_{c}") for c in columns],
+        *[F.max(F.col(c).cast("double")).alias(f"high_{c}") for c in columns],
+        *[F.count_if(F.col(c).isNull()).alias(f"gaps_{c}") for c in columns],
+    ).first()
+    gaps = [c for c in columns if row[f"gaps_{c}"] and row[f"low_{c}"] is not None]
+    medians = exact_medians(df, [], gaps).first() if gaps else None
     scaled = {}
     for c in columns:
-        low, spread = F.col(f"_stats.low_{c}"), F.col(f"_stats.high_{c}") - F.col(f"_stats.low_{c}")
-        scaled[prefix + c] = F.when(F.abs(spread) <= _CONSTANT, F.lit(0.0)).otherwise(
-            F.try_divide(F.col(c) - low, spread)
-        )
-    # One struct column, so that the plan holds the scalar once.
-    return df.withColumn("_stats", stats).withColumns(scaled).drop("_stats")
+        low, high = row[f"low_{c}"], row[f"high_{c}"]
+        if low is None:
+            scaled[prefix + c] = F.lit(None).cast("double")
+        elif abs(high - low) <= _CONSTANT:
+            scaled[prefix + c] = F.lit(0.0)
+        else:
+            value = F.coalesce(c, F.lit(medians[c])) if c in gaps else F.col(c)
+            scaled[prefix + c] = (value - F.lit(low)) / F.lit(high - low)
+    return df.withColumns(scaled)
 
 
 def minmax_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -18,8 +18,9 @@ _COLUMNS = ["ANO_CMPT", "MES_CMPT", "MUNIC_RES", "DIAG_PRINC", "DIAS_PERM", "VAL
 
 
 def read_admissions(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:
-    """The six columns used, as text."""
-    return read_by_header(spark, paths, {c: [c] for c in _COLUMNS}, separator=separator).select(*_COLUMNS)
+    """The six columns used, as text; a file that lacks one is an error."""
+    wanted = {c: [c] for c in _COLUMNS}
+    return read_by_header(spark, paths, wanted, separator=separator, required=_COLUMNS).select(*_COLUMNS)
 
 
 def admissions_silver(
@@ -30,7 +31,7 @@ def admissions_silver(
 ) -> DataFrame:
     """Totals and waterborne totals per municipality and month.
 
-    `number` reads the measures: to_number, or decimal_comma for files written
+    `number` reads the measures: to_number, or decimal_comma_number for files written
     with a decimal comma.
 
     The dimension is small enough to be broadcast, so the only shuffle is that of
@@ -61,10 +62,11 @@ def admissions_silver(
 
 
 def admissions_by_year(silver: DataFrame, dimension: DataFrame) -> DataFrame:
-    located = with_canonical_code(silver, dimension, "cod_mun")
-    return located.groupBy("cod_mun", "ano").agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in ADMISSION_MEASURES]
-    )
+    def sums(df: DataFrame) -> DataFrame:
+        return df.groupBy("cod_mun", "ano").agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in ADMISSION_MEASURES])
+
+    # Summed by raw code first, so that the look-up joins a few rows.
+    return sums(with_canonical_code(sums(silver), dimension, "cod_mun"))
 
 
 def member_share(raw: DataFrame, dimension: DataFrame) -> DataFrame:

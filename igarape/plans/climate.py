@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from igarape.constants import HEAT_THRESHOLD_C, STATION_MEASURES, STATION_MUNICIPALITIES
 from igarape.functions.dates import station_timestamp
-from igarape.functions.numeric import decimal_comma
+from igarape.functions.numeric import decimal_comma_number
 from igarape.operators.lookup import fan_out
 from igarape.schemas import CLIMATE_SILVER, conform
 
@@ -17,7 +17,7 @@ def climate_silver(stations: DataFrame) -> DataFrame:
     timed = stations.withColumns(
         {
             "timestamp_utc": station_timestamp("data", "hora_utc"),
-            **{m: decimal_comma(m) for m in STATION_MEASURES},
+            **{m: decimal_comma_number(m) for m in STATION_MEASURES},
         }
     ).filter(F.col("timestamp_utc").isNotNull())
     dated = timed.withColumns({"ano": F.year("timestamp_utc"), "mes": F.month("timestamp_utc")})

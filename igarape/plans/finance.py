@@ -17,7 +17,7 @@ _COLUMNS = ["cod_mun", "ano", "periodo", "numero_indicador", "numerador", "denom
 
 
 def read_finance_indicators(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    rows = read_by_header(spark, paths, {c: [c] for c in _COLUMNS})
+    rows = read_by_header(spark, paths, {c: [c] for c in _COLUMNS}, required=_COLUMNS)
     return rows.select(
         "cod_mun",
         to_whole("ano").alias("ano"),
@@ -27,13 +27,19 @@ def read_finance_indicators(spark: SparkSession, paths: str | list[str]) -> Data
 
 
 def finance_silver(indicators: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Scaled ratios by indicator, two decimals; a code without a municipality is an error."""
-    coded = indicators.withColumns(
+    """Scaled ratios by indicator, two decimals; a code without a municipality is an error.
+
+    Rows of a municipality count together, whether its code has six or seven digits.
+    """
+    listed = indicators.withColumns(
         {
             "lookup_code": zero_fill(F.col("cod_mun").cast("string"), 6),
             "codigo": indicator_code("numero_indicador"),
         }
     ).filter(F.col("codigo").isin(list(FINANCE_INDICATORS)))
+    keys = either_key(dimension).select("lookup_code", F.col("cod_mun").alias("cod_mun_7"), F.upper("name").alias("municipio"))
+    require_all_found(listed, keys, "lookup_code")
+    coded = listed.join(keys, "lookup_code").withColumn("cod_mun", F.col("cod_mun_7"))
     scale = F.create_map(
         *[F.lit(x) for code, (_, factor) in FINANCE_INDICATORS.items() for x in (code, factor)]
     )
@@ -41,16 +47,14 @@ def finance_silver(indicators: DataFrame, dimension: DataFrame) -> DataFrame:
     columns = {code: column for code, (column, _) in FINANCE_INDICATORS.items()}
     wide = cells_to_columns(
         coded,
-        ["lookup_code", "ano"],
+        ["cod_mun", "municipio", "ano"],
         "codigo",
         ratio * F.try_element_at(scale, F.col("codigo")),
         columns,
         order=["periodo"],
     )
     rounded = wide.withColumns({c: F.bround(c, 2) for c in columns.values()})
-    keys = either_key(dimension).select("lookup_code", "cod_mun", F.upper("name").alias("municipio"))
-    require_all_found(rounded, keys, "lookup_code")
-    return conform(rounded.join(keys, "lookup_code"), FINANCE_SILVER)
+    return conform(rounded, FINANCE_SILVER)
 
 
 def finance_by_year(silver: DataFrame, dimension: DataFrame) -> DataFrame:

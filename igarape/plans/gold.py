@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from igarape.functions.numeric import guarded_ratio
+from igarape.functions.numeric import guarded_ratio, nan_to_null
 from igarape.operators.grid import key_grid, value_domain
 from igarape.operators.reshape import keys_first
 from igarape.session import cut_lineage
@@ -19,15 +19,24 @@ def joined_on_grid(
 ) -> DataFrame:
     """Grid of all dimension rows and all periods of any source, with the columns of every source.
 
-    Each source has one row per (key, period). Instead of a chain of joins the
-    sources are stacked and merged by one aggregate, in which max only picks the
-    single value. The result, as small as the grid, is written once, because both
+    Each source has one row per (key, period); two of them are an error, since
+    merging them would make a row that never existed. Instead of a chain of joins
+    the sources are stacked and merged by one aggregate, in which max only picks
+    the single value. NaN counts as NULL. The result, as small as the grid, is written once, because both
     the period domain and the join need it and must not scan the facts twice.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-    figures = [c for c in stacked.columns if c not in (key, period)]
-    merged = stacked.dropna(subset=[key, period]).groupBy(key, period).agg(*[F.max(c).alias(c) for c in figures])
-    written = cut_lineage(merged)
+    numbered = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    figures = [c for c in stacked.columns if c not in (key, period, "_source")]
+    floating = {name for name, kind in stacked.dtypes if kind in ("double", "float")}
+    rows = [F.count_if(F.col("_source") == i) for i in range(len(sources))]
+    merged = stacked.dropna(subset=[key, period]).groupBy(key, period).agg(
+        *[F.max(nan_to_null(c) if c in floating else c).alias(c) for c in figures],
+        F.array_max(F.array(*rows)).alias("_rows"),
+    )
+    text = F.concat(F.lit("a source has several rows for "), F.concat_ws(", ", key, period))
+    single = merged.filter(F.when(F.col("_rows") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).drop("_rows")
+    written = cut_lineage(single)
     grid = key_grid(dimension, value_domain([written], period), period)
     return grid.join(written, [key, period], "left")
 

@@ -16,7 +16,7 @@ _HEADERS = {"cod_mun": ["municipio_codigo"], "ano": ["ano"], "populacao": ["valo
 
 def read_population(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Rows of all yearly files; files that are empty or hold only a header add none."""
-    rows = read_by_header(spark, paths, _HEADERS)
+    rows = read_by_header(spark, paths, _HEADERS, required=list(_HEADERS))
     if rows.isEmpty():
         raise ValueError(f"no population rows in {paths}")
     return rows
@@ -27,5 +27,6 @@ def population_silver(rows: DataFrame) -> DataFrame:
 
 
 def population_by_year(silver: DataFrame, dimension: DataFrame) -> DataFrame:
+    """One row per municipality and year; of a code written in six and in seven digits, the larger figure."""
     located = with_canonical_code(silver, dimension, "cod_mun")
-    return located.withColumn("populacao", F.col("populacao").cast("double"))
+    return located.groupBy("cod_mun", "ano").agg(F.max(F.col("populacao").cast("double")).alias("populacao"))

@@ -82,5 +82,9 @@ def repaired_indicators(df: DataFrame, dimension: DataFrame) -> DataFrame:
 
 
 def service_by_year(repaired: DataFrame, dimension: DataFrame) -> DataFrame:
+    """One row per municipality and year: codes of six and of seven digits are one, the fuller row stays."""
     located = with_canonical_code(repaired, dimension, "cod_mun")
-    return project_known(located, ["cod_mun", "ano", *GOLD_SERVICE_COLUMNS])
+    score = sum_skipping_null([c for c in PROVIDER_SCORE_COLUMNS if c in located.columns])
+    known = project_known(located.withColumn("_score", score), ["cod_mun", "ano", *GOLD_SERVICE_COLUMNS, "_score"])
+    figures = [F.col(c) for c in known.columns if c not in ("cod_mun", "ano", "_score")]
+    return first_row_per_key(known, ["cod_mun", "ano"], [-F.col("_score"), *figures]).drop("_score")

@@ -12,7 +12,7 @@ from igarape.constants import (
     WATER_HEADERS,
 )
 from igarape.functions.classify import CONFORM, NON_CONFORM, PERCENTILE, TOTAL, UNCLASSIFIED, sample_class
-from igarape.functions.numeric import decimal_comma_strict, guarded_ratio, to_whole
+from igarape.functions.numeric import decimal_comma_strict, guarded_ratio, nan_to_null, to_whole
 from igarape.functions.text import alias_or_self, blank_to_null, operator_slug, padded_code_or_null
 from igarape.operators.lookup import either_key, with_canonical_code
 from igarape.operators.reshape import sum_by_class
@@ -96,8 +96,11 @@ def classified_samples(
 
 
 def water_quality_silver(samples: DataFrame) -> DataFrame:
-    """One row per group with a column per class, total fallback and percent conform."""
-    wide = sum_by_class(samples, GROUP_COLUMNS, "classificacao", "valor", _CLASS_COLUMNS)
+    """One row per group with a column per class, total fallback and percent conform.
+
+    A group without a percentile has none: as 0 it would lower the yearly mean.
+    """
+    wide = sum_by_class(samples, GROUP_COLUMNS, "classificacao", "valor", _CLASS_COLUMNS, nullable=[PERCENTILE])
     decided = F.col("amostras_conformes") + F.col("amostras_nao_conformes")
     total = F.when(F.col("amostras_total") > 0, F.col("amostras_total")).otherwise(
         decided + F.col("amostras_sem_classificacao")
@@ -112,11 +115,17 @@ def water_quality_silver(samples: DataFrame) -> DataFrame:
 
 def quality_by_parameter(silver: DataFrame, dimension: DataFrame) -> DataFrame:
     """Yearly totals and percent conform of the total, per municipality and parameter."""
-    located = with_canonical_code(silver, dimension, "cod_mun")
     counts = ["amostras_total", "amostras_conformes", "amostras_nao_conformes"]
+    # Summed by raw code first, so that the look-up joins a few rows and not all of silver.
+    by_code = silver.groupBy("cod_mun", "ano", "parametro").agg(
+        *[F.sum(nan_to_null(F.col(c).cast("double"))).alias(c) for c in counts],
+        F.sum(nan_to_null("percentil_95")).alias("_soma"),
+        F.count(nan_to_null("percentil_95")).alias("_n"),
+    )
+    located = with_canonical_code(by_code, dimension, "cod_mun")
     totals = located.groupBy("cod_mun", "ano", "parametro").agg(
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in counts],
-        F.avg("percentil_95").alias("percentil_95"),
+        F.try_divide(F.sum("_soma"), F.sum("_n")).alias("percentil_95"),
     )
     return totals.withColumn(
         "pct_conformes_param", guarded_ratio("amostras_conformes", "amostras_total", 100.0)

@@ -26,8 +26,6 @@ from igarape.session import cut_lineage
 from igarape.sinks.tables import generation_time, stamped
 
 HOLDOUT = facts.LAST_YEAR
-# Forest size for these queries; the modelling job itself grows the full-size forest.
-_TREES, _DEPTH = 60, 8
 _FEATURES = [
     "idx_atend_agua_total", "idx_tratamento_esgoto", "idx_coleta_esgoto", "pct_conformes_global",
     "idx_perdas_distribuicao", "deficit_atendimento", "deficit_tratamento", "alerta_qualidade", "perdas_excesso",
@@ -239,7 +237,7 @@ def lasso_fit(spark: SparkSession, folder: str) -> DataFrame:
 @query("forest_predictions")
 def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, test = temporal_split(_table(spark, folder), HOLDOUT)
-    fitted = fit_pipeline(train, feature_names(train), forest(_TREES, depth=_DEPTH))
+    fitted = fit_pipeline(train, feature_names(train), forest())
     predicted = with_errors(fitted.predict(test, "previsto"), TARGET, "previsto")
     return predicted.select("cod_mun", "municipio", "ano", TARGET, "previsto", "erro_absoluto", "ape_pct")
 
@@ -247,14 +245,14 @@ def forest_predictions(spark: SparkSession, folder: str) -> DataFrame:
 @query("refit_predict_all")
 def refit_predict_all(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder)
-    fitted = fit_pipeline(rows, feature_names(rows), forest(_TREES, depth=_DEPTH))
+    fitted = fit_pipeline(rows, feature_names(rows), forest())
     return fitted.predict(rows, "taxa_prevista").select("cod_mun", "ano", TARGET, "taxa_prevista")
 
 
 @query("model_importance")
 def model_importance(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder)
-    return importance_table(spark, fit_pipeline(rows, feature_names(rows), forest(_TREES, depth=_DEPTH)))
+    return importance_table(spark, fit_pipeline(rows, feature_names(rows), forest()))
 
 
 @query("permutation_importance")
@@ -267,8 +265,7 @@ def permuted(spark: SparkSession, folder: str) -> DataFrame:
 @query("cross_validated_metrics")
 def cross_validated_metrics(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder)
-    models = {name: model for name, model in default_models().items() if name != "RandomForest"}
-    return cross_validated(rows, feature_names(rows), models)
+    return cross_validated(rows, feature_names(rows), default_models())
 
 
 @query("scenario_model")

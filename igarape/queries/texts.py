@@ -74,7 +74,7 @@ def slugify_ops(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT doc_id,
          md5(trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', '_', 'g'), '_')) AS slug,
          md5(trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')),
-           '[^a-z0-9_\\s]', '', 'g'), '\\s+', '_', 'g'), '_')) AS slug_compacto
+           '[^a-z0-9_ ]', '', 'g'), ' +', '_', 'g'), '_')) AS slug_compacto
     FROM documents""",
 )
 def slugify_label(spark: SparkSession, folder: str) -> DataFrame:

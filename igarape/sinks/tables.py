@@ -8,12 +8,22 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from igarape.session import cut_lineage
+
 
 def _partitioned(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Gathers a partition's rows into few files, yet splits a partition that is large.
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
+def checked(df: DataFrame, what: str) -> DataFrame:
+    """`df` written aside and read back; without rows an error, so that no target is touched."""
+    written = cut_lineage(df)
+    if written.isEmpty():
+        raise ValueError(f"no rows: {what}")
+    return written
+
+
 def replace_touched_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Overwrite only the partitions present in `df`; all others stay."""
     (
@@ -39,16 +49,25 @@ def replace_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     writer.parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """CSV folder with headers; a small table ends up in one file by adaptive coalescing."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """CSV folder with headers; a small table ends up in one file by adaptive coalescing.
+
+    With `order`, file after file is sorted by these columns.
+    """
+    rows = df.orderBy(*order) if order else df
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
 
+def replace_with_csv_twin(
+    df: DataFrame, parquet_path: str, csv_path: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """Write Parquet, then the CSV twin from the written Parquet, so `df` is computed once.
 
-def replace_with_csv_twin(df: DataFrame, parquet_path: str, csv_path: str) -> DataFrame:
-    """Write Parquet, then the CSV twin from the written Parquet, so `df` is computed once."""
-    replace_table(df, parquet_path)
+    Files are read back in any order, so the twin is sorted anew.
+    """
+    replace_table(df.orderBy(*order) if order else df, parquet_path)
     written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
-    export_csv(written, csv_path)
+    export_csv(written, csv_path, order)
     return written
 
 

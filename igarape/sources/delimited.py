@@ -59,20 +59,30 @@ def read_by_header(
     encoding: str = "UTF-8",
     skip_lines: int = 0,
     normalise: Callable[[str], str] = same_text,
-    is_data: Callable[[Column], Column] | None = None,
+    is_data: tuple[str, Callable[[Column], Column]] | None = None,
+    required: Sequence[str] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """All-string columns named by `wanted` (name -> accepted headers) plus the source file name.
 
-    A column that a file lacks is NULL there. With `skip_lines`, the preamble and
-    header are told from data by `is_data`, applied to the first column, since a
-    split of a file does not know its line numbers.
+    A column that a file lacks is NULL there; if it is `required`, that is an
+    error naming the files. With `skip_lines`, the preamble and header are told
+    from data by `is_data`, a wanted column and its test, since a split of a file
+    does not know its line numbers. `multi_line` keeps quoted line breaks within
+    a field, as the archive reader does, at the price of one task per file.
     """
     # Headers that put the wanted columns at the same places share a scan.
     layouts = defaultdict(list)
+    lacking = []
     for line, files in first_lines(spark, paths, skip_lines, encoding).items():
         header = split_header(line, separator)
         found = positions(header, wanted, normalise)
+        missing = [c for c in required if c not in found]
+        if missing:
+            lacking += [f"{path} ({', '.join(missing)})" for path in files]
         layouts[len(header), tuple(found.items())] += files
+    if lacking:
+        raise ValueError(f"columns missing in {len(lacking)} files: {'; '.join(lacking)}")
     parts = []
     for (width, found), files in layouts.items():
         place = dict(found)
@@ -82,12 +92,14 @@ def read_by_header(
             .option("encoding", encoding)
             .option("header", skip_lines == 0)
             .option("escape", '"')
+            .option("multiLine", multi_line)
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .csv(files)
         )
         if is_data is not None:
-            rows = rows.filter(is_data(F.col("c0")))
+            column, test = is_data
+            rows = rows.filter(test(F.col(f"c{place[column]}")) if column in place else F.lit(False))
         columns = [
             F.col(f"c{place[c]}").alias(c) if c in place else F.lit(None).cast("string").alias(c)
             for c in wanted

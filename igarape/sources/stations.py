@@ -23,8 +23,8 @@ def header_text(header: str) -> str:
     return plain.lower().strip()
 
 
-def _is_dated(first_column: Column) -> Column:
-    return first_column.rlike(r"^\d{4}[-/]\d{2}[-/]\d{2}$")
+def _is_dated(date: Column) -> Column:
+    return date.rlike(r"^\d{4}[-/]\d{2}[-/]\d{2}$")
 
 
 def read_stations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -40,7 +40,8 @@ def read_stations(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         encoding="ISO-8859-1",
         skip_lines=STATION_PREAMBLE_LINES,
         normalise=header_text,
-        is_data=_is_dated,
+        is_data=("data", _is_dated),
+        required=["data"],
     )
     station = F.regexp_extract(SOURCE_FILE, _STATION, 1)
     values = {

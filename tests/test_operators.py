@@ -111,7 +111,7 @@ def test_exact_medians(spark):
 def test_minmax(spark):
     rows = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "x double, k double")
     scaled = [(r.s_x, r.s_k) for r in with_minmax(rows, ["x", "k"], "s_").collect()]
-    assert scaled == [(0.0, 0.0), (1.0, 0.0), (None, 0.0)]
+    assert scaled == [(0.0, 0.0), (1.0, 0.0), (0.5, 0.0)]  # NULL takes the median
     assert [tuple(r) for r in minmax_summary(rows, ["x"]).collect()] == [("x", 1.0, 3.0)]
 
 
