@@ -6,6 +6,7 @@ from igarape.queries import (  # noqa: F401  (importing registers the queries)
     keys,
     modelling,
     panel,
+    plans,
     scans,
     texts,
 )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,11 +49,18 @@ def shared_folder(spark: SparkSession) -> str:
     if folder not in _known:
         file_system, path = _file_system(spark, folder)
         file_system.mkdirs(path)
-        file_system.deleteOnExit(path)
+        atexit.register(_clear, file_system, path)
         _known.add(folder)
     return folder
 
 
+def _clear(file_system, path) -> None:
+    try:
+        file_system.delete(path, True)
+    except Py4JError:
+        pass  # the JVM has gone before
+
+
 _known: set[str] = set()
 
 

@@ -22,10 +22,11 @@ Outra Cidade,1509999,PA,0
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         master="local[8]",
         **{
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
