@@ -23,7 +23,7 @@ from igarape.queries import facts
 from igarape.queries.panel import ANALYSIS_SQL, _analysis
 from igarape.queries.registry import query, rounded, table
 from igarape.session import cut_lineage
-from igarape.sinks.tables import generation_time, stamped
+from igarape.sinks.tables import stamped
 
 HOLDOUT = facts.LAST_YEAR
 _FEATURES = [
@@ -275,7 +275,57 @@ def scenario_model(spark: SparkSession, folder: str) -> DataFrame:
     return scenario_impact(fitted, rows.filter(F.col("ano") == HOLDOUT))
 
 
-@query("timestamp_export")
+_ONE = "idx_coleta_esgoto"
+
+
+@query(
+    "model_pipeline_single",
+    f"""WITH {ANALYSIS_SQL},
+    line AS (SELECT regr_slope({TARGET}, {_ONE}) AS s, regr_intercept({TARGET}, {_ONE}) AS i FROM ana WHERE ano < {HOLDOUT})
+    SELECT cod_mun, ano, round(s * {_ONE} + i, 4) AS previsto FROM ana, line WHERE ano = {HOLDOUT} AND {TARGET} IS NOT NULL""",
+)
+def model_pipeline_single(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole pipeline with one feature, where the fitted line has a closed form."""
+    train, test = temporal_split(_table(spark, folder), HOLDOUT)
+    fitted = fit_pipeline(train, [_ONE], linear())
+    return rounded(fitted.predict(test, "previsto").select("cod_mun", "ano", "previsto"), 4)
+
+
+@query(
+    "cross_validated_single",
+    f"""WITH RECURSIVE {ANALYSIS_SQL},
+    known AS (SELECT cod_mun, {_ONE} AS x, {TARGET} AS t FROM ana WHERE {TARGET} IS NOT NULL),
+    sizes AS (SELECT cod_mun, count(*) AS n FROM known GROUP BY 1),
+    ordered AS (SELECT *, row_number() OVER (ORDER BY n DESC, cod_mun DESC) AS rn FROM sizes),
+    placed AS (
+      SELECT CAST(0 AS BIGINT) AS rn, CAST([0, 0, 0, 0] AS BIGINT[]) AS loads, CAST(NULL AS VARCHAR) AS cod_mun,
+             CAST(NULL AS BIGINT) AS fold
+      UNION ALL
+      SELECT o.rn, list_transform(range(1, 5), lambda i: f.loads[i] +
+               CASE WHEN i = list_position(f.loads, list_min(f.loads)) THEN o.n ELSE 0 END),
+             o.cod_mun, list_position(f.loads, list_min(f.loads)) - 1
+      FROM placed f JOIN ordered o ON o.rn = f.rn + 1),
+    dealt AS (SELECT k.*, p.fold FROM known k JOIN placed p ON k.cod_mun = p.cod_mun),
+    folds AS (SELECT DISTINCT fold AS own FROM dealt),
+    fits AS (SELECT own, regr_slope(t, x) AS s, regr_intercept(t, x) AS i FROM folds JOIN dealt ON fold <> own GROUP BY 1),
+    per AS (
+      SELECT own, avg(abs(s * x + i - t)) AS mae, sqrt(avg((s * x + i - t) * (s * x + i - t))) AS rmse,
+        1 - sum((s * x + i - t) * (s * x + i - t)) / (var_pop(t) * count(*)) AS r2
+      FROM dealt JOIN fits ON fold = own GROUP BY 1)
+    SELECT 'LinearRegression' AS model, round(avg(mae), 4) AS mae, round(avg(rmse), 4) AS rmse, round(avg(r2), 4) AS r2 FROM per""",
+)
+def cross_validated_single(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-validation by group with one feature."""
+    return rounded(cross_validated(_table(spark, folder), [_ONE], {"LinearRegression": linear()}), 4)
+
+
+_EXPORTED = "2024-05-06T07:08:09+00:00"
+
+
+@query(
+    "timestamp_export",
+    f"""WITH {facts.PANEL_SQL} SELECT cod_mun, ano, round({TARGET}, 6) AS {TARGET}, '{_EXPORTED}' AS gerado_em FROM gold""",
+)
 def timestamp_export(spark: SparkSession, folder: str) -> DataFrame:
-    """An exported table carries the time of its run."""
-    return stamped(rounded(facts.panel(spark, folder).select("cod_mun", "ano", TARGET)), generation_time())
+    """An exported table carries the time of its run, given by the job."""
+    return stamped(rounded(facts.panel(spark, folder).select("cod_mun", "ano", TARGET)), _EXPORTED)
