@@ -119,8 +119,9 @@ def _in_order(docs: DataFrame, blocks: int) -> tuple[DataFrame, Window]:
     begins = sorted((x["block"], None if x["nulls"] else x["least"]) for x in least.collect())
     firsts = [(value, begins[i - 1][0]) for i, (_, value) in enumerate(begins)]
     first = spark.createDataFrame(firsts, "first long, block int")
+    # A row per block, so the texts are not shuffled to find those that begin blocks.
     ghosts = (
-        docs.join(first, F.col("id").eqNullSafe(F.col("first")))
+        docs.join(F.broadcast(first), F.col("id").eqNullSafe(F.col("first")))
         .groupBy("block")
         .agg(F.min("text").alias("text"))
         .select("block", F.lit(1).alias("ghost"), F.lit(None).cast("long").alias("id"), "text")
