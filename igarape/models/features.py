@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import FEATURE_CANDIDATES, TARGET
-from igarape.operators.medians import exact_medians
+from igarape.operators.medians import whole_medians
 
 
 def feature_names(df: DataFrame, candidates: Sequence[str] = tuple(FEATURE_CANDIDATES)) -> list[str]:
@@ -59,8 +59,7 @@ def fit_preprocessing(train: DataFrame, features: Sequence[str]) -> Preprocessin
     Exact medians, found without gathering a column's values. A column without
     any value takes 0.
     """
-    row = exact_medians(train, [], features).first()
-    medians = {c: row[c] if row and row[c] is not None else 0.0 for c in features}
+    medians = {c: value if value is not None else 0.0 for c, value in whole_medians(train, features).items()}
     filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in features}
     moments = train.agg(
         *[F.avg(x).alias(f"mean_{c}") for c, x in filled.items()],

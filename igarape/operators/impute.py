@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from igarape.operators.medians import exact_medians
+from igarape.operators.medians import exact_medians, whole_medians
 from igarape.session import cut_lineage
 
 
@@ -39,7 +39,7 @@ def fill_group_then_global_median(
         .select(*df.columns)
     )
     written = cut_lineage(filled, "filled")
-    overall = exact_medians(written, [], present).first()
     kinds = dict(df.dtypes)
-    known = {c: F.lit(overall[c]).cast(kinds[c]) for c in present if overall and overall[c] is not None}
+    overall = whole_medians(written, present)
+    known = {c: F.lit(value).cast(kinds[c]) for c, value in overall.items() if value is not None}
     return written.withColumns({c: F.coalesce(c, value) for c, value in known.items()})

@@ -56,3 +56,51 @@ def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c) for c in columns]
     )
+
+
+# Rows of a whole table whose middle, enclosed by the sketch, has at most some 100,000 values.
+_MIDDLE_ROWS = 150_000_000
+
+
+def whole_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Interpolated medians of whole columns, NULLs ignored; None for a column without values.
+
+    The limits of the sketch come back as literals, and the rows are read once more to count
+    those below and the values between. These are few enough for the driver; the middle of a
+    longer table is found by `exact_medians`, with the same result.
+    """
+    numbers = {c: F.col(c).cast("double") for c in columns}
+    row = df.agg(
+        *[F.count(x).alias(f"n_{c}") for c, x in numbers.items()],
+        *[F.percentile_approx(x, [_BELOW, _ABOVE], _ACCURACY).alias(f"limits_{c}") for c, x in numbers.items()],
+    ).first()
+    if max((row[f"n_{c}"] for c in columns), default=0) > _MIDDLE_ROWS:
+        found = exact_medians(df, [], columns).first()
+        return {c: found[c] for c in columns}
+    cells = []
+    for c, x in numbers.items():
+        if row[f"n_{c}"]:
+            low, high = (F.lit(v) for v in row[f"limits_{c}"])
+            inside = F.when((x >= low) & (x <= high), x)
+            cells.append(F.struct(F.lit(c).alias("name"), (x < low).alias("below"), inside.alias("value")))
+    medians: dict[str, float | None] = {c: None for c in columns}
+    if not cells:
+        return medians
+    counted = df.select(F.inline(F.array(*cells))).filter("below OR value IS NOT NULL").groupBy("name", "below", "value").count()
+    before: dict[str, int] = {}
+    middle: dict[str, list[tuple[float, int]]] = {}
+    for r in counted.collect():
+        if r["below"]:
+            before[r["name"]] = r["count"]
+        else:
+            middle.setdefault(r["name"], []).append((r["value"], r["count"]))
+    for c, values in middle.items():
+        ranks = [(row[f"n_{c}"] + 1) // 2, row[f"n_{c}"] // 2 + 1]
+        picked, last = [], before.get(c, 0)
+        for value, n in sorted(values):
+            picked += [value for rank in ranks if last < rank <= last + n]
+            last += n
+        if len(picked) != 2:
+            raise ValueError(f"the median of {c} is outside its limits")
+        medians[c] = sum(picked) / 2
+    return medians

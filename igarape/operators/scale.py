@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.functions.numeric import repair_scale
-from igarape.operators.medians import exact_medians
+from igarape.operators.medians import whole_medians
 
 # A spread up to this size counts as constant.
 _CONSTANT = 1e-8
@@ -27,7 +27,7 @@ def with_minmax(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame
         *[F.count_if(F.col(c).isNull()).alias(f"gaps_{c}") for c in columns],
     ).first()
     gaps = [c for c in columns if row[f"gaps_{c}"] and row[f"low_{c}"] is not None]
-    medians = exact_medians(df, [], gaps).first() if gaps else None
+    medians = whole_medians(df, gaps) if gaps else {}
     scaled = {}
     for c in columns:
         low, high = row[f"low_{c}"], row[f"high_{c}"]

@@ -15,7 +15,7 @@ from igarape.operators.lookup import (
     require_all_found,
     with_canonical_code,
 )
-from igarape.operators.medians import exact_medians
+from igarape.operators.medians import exact_medians, whole_medians
 from igarape.operators.ordering import first_row_per_key, occurrence_number, previous_by_key
 from igarape.operators.reshape import cells_to_columns, keys_first, project_known, with_missing_columns
 from igarape.operators.scale import minmax_summary, with_minmax
@@ -104,6 +104,8 @@ def test_exact_medians(spark):
     for key, (x, y) in found.items():
         row = expected[expected.index.isna()].iloc[0] if key is None else expected.loc[key]
         assert x == row.x and (y == row.y or (y is None and pd.isna(row.y)))
+    assert whole_medians(df, ["x", "y"]) == {"x": frame.x.median(), "y": frame.y.median()}
+    assert whole_medians(df.filter("false"), ["x"]) == {"x": None}
     whole = exact_medians(df, [], ["x", "y"]).collect()
     assert [tuple(r) for r in whole] == [(frame.x.median(), frame.y.median())]
 
