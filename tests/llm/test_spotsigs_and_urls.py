@@ -204,3 +204,48 @@ def test_without_examples_all_pass(spark):
     assert {r["verdict"] for r in judge(rows).collect()} == {"allow"}
     assert judge(rows.limit(0)).count() == 0
     assert isinstance(fit(rows.select("url", F.lit("allow").alias("verdict")), buckets=64), Model)
+
+
+class ExactModel(BruteModel):
+    """Counts by the characters themselves."""
+
+    def cells(self, url):
+        framed = "\x02" + (url or "") + "\x03"
+        return [
+            [(("seen", k, framed[i - k + 1 : i]), ("both", k, framed[i - k + 1 : i + 1])) for k in range(1, self.order + 1) if i >= k - 1]
+            for i in range(1, len(framed))
+        ]
+
+
+def brute_verdicts(urls):
+    """(score, verdict) of each URL that no rule decides, by exact counts."""
+    rules = {u: brute_rule(*brute_host_and_path(u)) for u in urls}
+    labelled = [(u, rules[u].verdict) for u in urls if rules[u]]
+    number = lambda u: xxhash.xxh64_intdigest(u.encode(), 42)
+    held = lambda u: (number(u) - (1 << 64 if number(u) >> 63 else 0)) % 5 == 0
+    model = ExactModel([x for x in labelled if not held(x[0])], 4, 0, 2.0)
+    bins = [(math.floor(model.score(u) * 64), v) for u, v in labelled if held(u)]
+    share = lambda cut, v: sum((b >= cut) == (v == "allow") for b, x in bins if x == v) / sum(x == v for _, x in bins)
+    cut = max(sorted({b for b, _ in bins}), key=lambda c: share(c, "allow") + share(c, "block")) / 64
+    scores = {u: model.score(u) for u in set(urls) if not rules[u]}
+    return {u: (s, "allow" if s >= cut else "block") for u, s in scores.items()}
+
+
+def test_verdicts_equal_unhashed_brute_force(spark):
+    random.seed(8)
+    letters = "abcdefghijklmnopqrstuvwxyzéß日本"
+    word = lambda: "".join(random.choice(letters) for _ in range(9))
+    ends = [".com/", ".net/fr/", ".org/", ".net/de/"]
+    urls = [f"http://{word()}{random.choice(ends)}{word()}" for _ in range(1500)]  # far more contexts than 8,192
+    urls += [r["url"] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()]
+    urls += ["http://hot.org/"] * 500 + [None, None, "", "\x02htt", "x"]
+    expected = brute_verdicts(urls)
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(5)
+    found = judge(rows).collect()
+    assert sorted(r["page_id"] for r in found) == list(range(len(urls)))
+    left = [r for r in found if r["rule"] is None]
+    assert len(left) == sum(u in expected for u in urls)
+    for r in left:
+        score, verdict = expected[r["url"]]
+        assert r["score"] == pytest.approx(score, abs=1e-9), r["url"]
+        assert r["verdict"] == verdict, r["url"]
