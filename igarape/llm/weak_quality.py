@@ -6,8 +6,8 @@ pattern counts estimates each labeller's vote probabilities among good and among
 them a pattern's posterior. A linear scorer on hashed words and word shapes is then trained on
 posteriors as soft labels, and scores every text, also where all labellers abstain.
 
-The scorer is fitted on a bounded sample, `fit_rows` texts with the smallest hashes of their ids (a
-text more or less where hashes are drawn by share); counts, posteriors and scores cover all texts.
+The scorer is fitted on a bounded sample, at most `fit_rows` texts drawn by the hash of id and text, in
+which rows that repeat both count once; counts, posteriors and scores cover all texts.
 Null and empty texts have no words: they are scored 0 by rule and not kept. Repeated rows are scored
 alike. An empty table gives an empty result. Without any sample the posterior is the score.
 """
@@ -218,26 +218,37 @@ def classify(
         cells = _Cells(size)
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            own, values, labels = [], [], []
-            for value in texts(batch.column(0)):
+            keys, own, values, labels = [], [], [], []
+            for key, value in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
                 words = (value := value.decode()).split()
                 if words:
+                    keys.append(key)
                     cell, weight = _features(words, cells)
                     own.append(cell.astype("i4"))
                     values.append(weight.astype("f4"))
                     labels.append(pattern(votes(value, words)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), pa.array(labels, pa.int64())],
-                ["own", "weights", "pattern"],
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array(own, pa.list_(pa.int32())),
+                    pa.array(values, pa.list_(pa.float32())),
+                    pa.array(labels, pa.int64()),
+                ],
+                ["key", "own", "weights", "pattern"],
             )
 
         return one
 
+    # A tenth more by share than needed, so that the hard bound below cuts a few rows only.
     parts = 1 << 30
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < int(parts * min(1.0, fit_rows / max(1, total)))
-    table = map_arrow(
-        plain.filter(chosen).select("text"), "own array<int>, weights array<float>, pattern long", start_sample
-    ).toArrow()
+    keyed = plain.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    chosen = F.pmod("key", F.lit(parts)) < int(parts * min(1.0, 1.1 * fit_rows / max(1, total)))
+    found = map_arrow(
+        keyed.filter(chosen).dropDuplicates(["key"]),
+        "key long, own array<int>, weights array<float>, pattern long",
+        start_sample,
+    )
+    table = found.orderBy("key").limit(fit_rows).toArrow()
     rows = []
     if table.num_rows:
         belief = model.posterior(table.column("pattern").to_numpy())

@@ -4,6 +4,7 @@ import math
 import numpy as np
 import pytest
 
+from igarape.llm import weak_quality
 from igarape.llm.lattice_sampling import BLANK, Sampler, Vocabulary, sample
 from igarape.llm.weak_quality import LABELLERS, classify, fit_labels, pattern, votes
 
@@ -52,6 +53,19 @@ def test_classifier_takes_any_row(spark):
     assert classify(table.limit(0)).count() == 0
 
 
+def test_training_rows_are_bounded_for_null_and_repeated_ids(spark, monkeypatch):
+    taken = []
+    train = weak_quality.train
+    monkeypatch.setattr(weak_quality, "train", lambda rows, size: taken.append(len(rows)) or train(rows, size))
+    text = lambda i: f"the word{i} of the river is not far from the house and {i} trees"
+    ids = [None] * 1000 + [7] * 1000 + list(range(10, 1010))
+    table = spark.createDataFrame([(n, text(i)) for i, n in enumerate(ids)], "doc_id long, text string")
+    assert classify(table, fit_rows=300).count() == 3000
+    repeated = spark.createDataFrame([(None, text(0))] * 2000 + [(i, text(i)) for i in range(50)], table.schema)
+    assert classify(repeated, fit_rows=5000).count() == 2050
+    assert 240 <= taken[0] <= 300 and taken[1] == 51
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return Vocabulary()
