@@ -10,6 +10,9 @@ together, one byte a step, so the work is array look-ups. Lanes in which a state
 are followed again with the same arrays to get the ends of all matches; a rule's reversed automaton,
 run back from an end to the end of the match before, gives the start.
 
+A rule may have a tail, what belongs to the secret after the match, such as a key's lines up to its
+last one. Spans end with the match; the redacted text loses the tail as well.
+
 Null and empty texts have no spans. Texts are scanned whole; a text without cutting bytes is one
 lane, followed byte by byte. Repeated rows are scanned alike.
 """
@@ -17,6 +20,7 @@ lane, followed byte by byte. Repeated rows are scanned alike.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -39,7 +43,17 @@ class Rule:
     run: str
     least: int
     any_case: bool = False
+    tail: str = ""
+
 
+# A private key's lines, quoted or with escaped line breaks too, with the END line; without one
+# (cut texts) the full lines and the short one after them.
+_KEY_LINES = (
+    r"(?:[\sA-Za-z0-9+/=\\\"',:;>|#*]++|-(?!----))*+-----END (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----"
+    r"|(?:\s++[A-Za-z][A-Za-z-]*+: [^\r\n\\]*+)*+"
+    r"(?:(?:\s|\\[nr])++[>|#*\"' ]*+[A-Za-z0-9+/]{40,}+={0,2}+)++"
+    r"(?:(?:\r?\n|\\n)[>|#*\"' ]*+[A-Za-z0-9+/]{1,39}+={0,2}+(?=[\s\\\"']|\Z))?"
+)
 
 BASE_RULES = (
     Rule(
@@ -53,7 +67,7 @@ BASE_RULES = (
     Rule("hex", "", "[0-9a-f]", 16),
 )
 MORE_RULES = (
-    Rule("private_key", "-----BEGIN (RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY----", "-", 1),
+    Rule("private_key", "-----BEGIN (RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY----", "-", 1, tail=_KEY_LINES),
     Rule("github", "gh[pousr]_", "[A-Za-z0-9]", 36),
 )
 RULES = BASE_RULES + MORE_RULES
@@ -341,11 +355,13 @@ def _in_chars(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     return [(int(begins[a]), rule, int(begins[b])) for a, rule, b in spans]
 
 
-def _redacted(text: bytes, spans: list[tuple[int, int, int]], kinds: list[str]) -> bytes:
+def _redacted(text: bytes, spans: list[tuple[int, int, int]], rules: tuple[Rule, ...]) -> bytes:
     out, done = [], 0
     for a, rule, b in spans:
         if a >= done:
-            out += [text[done:a], f"[{kinds[rule]}]".encode()]
+            out += [text[done:a], f"[{rules[rule].kind}]".encode()]
+        if rules[rule].tail and (rest := re.compile(rules[rule].tail.encode()).match(text, b)):
+            b = rest.end()
         done = max(done, b)
     return b"".join(out) + text[done:]
 
@@ -355,7 +371,7 @@ def scan(
     into: str = "secrets", part: int = 1 << 23
 ) -> DataFrame:
     """`docs` with a struct column `into`: counts (by rule), base_sha256, spans and, if asked, the
-    redacted text, in which each span is replaced by its kind in brackets.
+    redacted text, in which each span, with its rule's tail, is replaced by its kind in brackets.
 
     Spans are kind:start:end in code points, sorted by start, then by the order of the rules.
     """
@@ -383,7 +399,7 @@ def scan(
             for row, value in enumerate(values):
                 spans = found.get(row)
                 if redact:
-                    clean.append(_redacted(value, spans, kinds) if spans else value)
+                    clean.append(_redacted(value, spans, rules) if spans else value)
                 if not spans:
                     counts.append(nothing)
                     base.append(empty)
