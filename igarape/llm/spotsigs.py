@@ -2,9 +2,10 @@
 
 A signature is a common word (the anchor) with the `chain` content words that follow it among the
 next `reach` words. A text's fingerprint is the set of its signatures' hashes, written as a digest
-of the sorted set; the likeness of two fingerprints is the Jaccard measure of the sets. Sets fall
-into partitions by length, so that sets at a likeness of at least a threshold lie in the same or in
-neighbouring partitions, and Jaccard is only worked out for sets whose lengths allow it.
+of the sorted set; the likeness of two fingerprints is the Jaccard measure of the sets. In
+`similar_pairs` only, sets fall into partitions by length, so that sets at a likeness of at least a
+threshold lie in the same or in neighbouring partitions, and Jaccard is only worked out for sets
+whose lengths allow it.
 
 Texts without a complete chain take the chains at all words; texts with fewer words take the hash
 of the whole text, so null and empty texts have equal fingerprints and others do not. All is done by
