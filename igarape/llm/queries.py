@@ -14,7 +14,9 @@ from igarape.llm.quality_rules import judge
 from igarape.llm.registry import QUERIES, SQL, query
 from igarape.llm.secret_scan import RULES, scan
 from igarape.llm.simhash import near_duplicates
+from igarape.llm.source_audit import audit
 from igarape.llm.spotsigs import compare_with_edits
+from igarape.llm.token_alignment import compare
 from igarape.llm.url_filter import judge as judge_urls
 from igarape.llm.warc import read_archives, write_archives
 from igarape.llm.weak_quality import classify
@@ -80,3 +82,13 @@ def weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = sample(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
     return drawn.withColumnRenamed("key", "doc_id")
+
+
+@query("op11_source_audit", sql.SOURCE_AUDIT)
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(read_table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+@query("op13_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare(read_table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -121,3 +121,42 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, _, _ in _KINDS)}
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN told USING (doc_id)
 """
+
+
+SOURCE_AUDIT = """
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t
+    FROM documents
+), words AS (
+    SELECT r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS w FROM docs)
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), counted AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), langs AS (
+    SELECT lang, sum(lang_n) AS lang_total, count(*) AS v FROM kept GROUP BY lang
+), sources AS (
+    SELECT lang, source, coalesce(total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counted GROUP BY lang, source) USING (lang, source)
+), shares AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n,
+           1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1) // (total + v) AS p,
+           1 + CAST(1000000000 AS HUGEINT) * (lang_n + 1) // (lang_total + v) AS q
+    FROM sources JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+), gaps AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+) WHERE part = 'pair' OR rank <= 200
+"""
