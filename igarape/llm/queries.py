@@ -10,6 +10,7 @@ from igarape.llm.common import read_table
 from igarape.llm.lattice_sampling import sample
 from igarape.llm.line_runs import without_repeated_lines
 from igarape.llm.packing import pack, pieces
+from igarape.llm.parity_join import near_sets
 from igarape.llm.quality_rules import judge
 from igarape.llm.registry import QUERIES, SQL, query
 from igarape.llm.secret_scan import RULES, scan
@@ -89,6 +90,11 @@ def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(read_table(spark, sf_dir, "documents", "lang", "source", "text"))
 
 
+@query("op12_parity_join")
+def parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_sets(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op13_token_alignment")
 def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare(read_table(spark, sf_dir, "documents", "doc_id", "text"))
