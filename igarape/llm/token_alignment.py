@@ -35,8 +35,8 @@ from igarape.session import cut_lineage
 
 #: A place where words cannot be encoded one by one: a space before white space or the end.
 _JOINED = re.compile(r" (?:\s|\Z)")
-_CHUNK = 1 << 22
-_LANE = 256
+_CHUNK = 1 << 20
+_LANE = 128
 _LARGE = 4096
 _HEAVY = 1 << 16
 
