@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     job("water-quality", **water)
     admissions = job("admissions", csv_dir="data/bronze/sih/csv", municipios=_MUNICIPALITIES, out_dir="data/silver/sih")
     admissions.add_argument("--separator", default=",")
+    admissions.add_argument("--states", help="folder of totals per file: only new and changed files are read")
     admissions.add_argument("--chunksize", help="accepted and ignored: Spark splits files itself")
     job("climate", input_dir="data/bronze/inmet", output_dir="data/silver/inmet")
     job(
@@ -34,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     )
     job("population", input_dir="data/bronze/ibge", output_file="data/silver/ibge_populacao")
     job("service-indicators", cells="data/bronze/snis/cells.parquet", municipios=_MUNICIPALITIES, out_dir="data/gold/snis")
+    landed = job("payloads", input="data/landing/siops/*.json", out="data/bronze/siops/indicators.csv")
+    landed.add_argument("--kind", choices=["finance", "subfunctions", "population"], default="finance")
     job(
         "gold",
         silver_dir="data/silver",
@@ -60,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "water-quality":
         jobs.run_water_quality(spark, args.input_dir, args.municipios, args.output_dir)
     elif args.job == "admissions":
-        jobs.run_admissions(spark, args.csv_dir, args.municipios, args.out_dir, args.separator)
+        jobs.run_admissions(spark, args.csv_dir, args.municipios, args.out_dir, args.separator, args.states)
     elif args.job == "climate":
         jobs.run_climate(spark, args.input_dir, args.output_dir)
     elif args.job == "finance":
@@ -69,6 +72,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.run_population(spark, args.input_dir, args.output_file)
     elif args.job == "service-indicators":
         jobs.run_service_indicators(spark, args.cells, args.municipios, args.out_dir)
+    elif args.job == "payloads":
+        jobs.run_payloads(spark, args.kind, args.input, args.out)
     elif args.job == "gold":
         jobs.run_gold(spark, args.silver_dir, args.service, args.municipios, args.out_parquet, args.out_csv)
     elif args.job == "analysis":

@@ -6,28 +6,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.base import Estimator, Model
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import FOREST_MIN_LEAF, FOREST_TREES, LASSO_ALPHA, LASSO_ITERATIONS, SEED, TARGET
 from igarape.models.features import Preprocessing, fit_preprocessing
+from igarape.models.moments import Lasso, Least, LinearModel, moment_matrices, scale_figures, scales_of, solved
+from igarape.operators.medians import whole_medians
 
 
-def linear() -> Estimator:
-    return LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, standardization=False)
+def linear() -> Least:
+    return Least()
 
 
-def lasso(alpha: float = LASSO_ALPHA, iterations: int = LASSO_ITERATIONS) -> Estimator:
-    # Features are standardised before, so the penalty applies to them as they are.
-    return LinearRegression(
-        featuresCol="features",
-        labelCol="label",
-        regParam=alpha,
-        elasticNetParam=1.0,
-        maxIter=iterations,
-        standardization=False,
-    )
+def lasso(alpha: float = LASSO_ALPHA, iterations: int = LASSO_ITERATIONS) -> Lasso:
+    return Lasso(alpha, iterations)
 
 
 def forest(
@@ -51,17 +45,23 @@ def forest(
     )
 
 
-def default_models(trees: int = FOREST_TREES) -> dict[str, Estimator]:
+def default_models(trees: int = FOREST_TREES) -> dict[str, Estimator | Least | Lasso]:
     return {"LinearRegression": linear(), "Lasso": lasso(), "RandomForest": forest(trees)}
 
 
 @dataclass(frozen=True)
 class FittedPipeline:
     preprocessing: Preprocessing
-    model: Model
+    model: Model | LinearModel
+
+    def linear_value(self) -> Column:
+        """The prediction of a linear model, as a column expression."""
+        return self.model.value([self.preprocessing.scaled(c) for c in self.preprocessing.features])
 
     def predict(self, df: DataFrame, into: str) -> DataFrame:
         """`df` with the prediction; one pass over the rows."""
+        if isinstance(self.model, LinearModel):
+            return df.select(*df.columns, self.linear_value().alias(into))
         vectors = self.preprocessing.vectors(df)
         predicted = self.model.transform(vectors)
         return predicted.select(*df.columns, F.col("prediction").alias(into))
@@ -71,13 +71,22 @@ class FittedPipeline:
         if hasattr(self.model, "featureImportances"):
             values = self.model.featureImportances.toArray()
         else:
-            values = abs(self.model.coefficients.toArray())
+            values = abs(self.model.coefficients)
         return [(c, float(v)) for c, v in zip(self.preprocessing.features, values)]
 
 
 def fit_pipeline(
-    train: DataFrame, features: Sequence[str], estimator: Estimator, target: str = TARGET
+    train: DataFrame, features: Sequence[str], estimator: Estimator | Least | Lasso, target: str = TARGET
 ) -> FittedPipeline:
+    """Imputation, standardisation and the model; linear models are solved from second moments."""
+    if isinstance(estimator, (Least, Lasso)):
+        seen = train.agg(*[column.alias(name) for name, column in scale_figures(features, target).items()]).first()
+        scales = scales_of(seen.asDict(), features, target)
+        matrices = moment_matrices(train, scales, target)
+        if not matrices:
+            raise ValueError("no rows to learn from")
+        medians = {c: value if value is not None else 0.0 for c, value in whole_medians(train, features).items()}
+        return FittedPipeline(*solved(matrices[0], scales, medians, estimator))
     preprocessing = fit_preprocessing(train, features)
     rows = preprocessing.vectors(train).select("features", F.col(target).cast("double").alias("label"))
     return FittedPipeline(preprocessing, estimator.fit(rows))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from igarape.constants import HOLDOUT_YEAR, MAX_FOLDS, TARGET
 from igarape.functions.numeric import absolute_error, absolute_percentage_error
-from igarape.models.estimators import fit_pipeline
+from igarape.models.estimators import FittedPipeline, fit_pipeline
+from igarape.models.moments import Lasso, Least, left_out_medians, moment_matrices, scale_figures, scales_of, solved
 from igarape.operators.ordering import with_place
-from igarape.session import cut_lineage
+from igarape.session import cut_lineage, cut_lineage_observed
 
 
 def fold_segments(sizes: Sequence[tuple[int, int]], folds: int) -> list[tuple[int, int, list[int]]]:
@@ -91,10 +92,25 @@ def regression_metrics(df: DataFrame, observed: str, predicted: str, by: Sequenc
     )
 
 
+def moment_fits(
+    table: DataFrame, features: Sequence[str], models: Mapping[str, Least | Lasso], seen: Mapping, numbers: Sequence[int], target: str
+) -> dict[tuple[str, int], FittedPipeline]:
+    """The fit of each linear model without each fold: the sums of all rows less those of the fold."""
+    scales = scales_of(seen, features, target)
+    matrices = moment_matrices(table, scales, target, "fold")
+    total = sum(matrices.values())
+    medians = left_out_medians(table, [c for c in features if seen[f"gaps_{c}"]], "fold", numbers)
+    return {
+        (name, n): FittedPipeline(*solved(total - matrices.get(n, 0.0), scales, medians[n], model))
+        for name, model in models.items()
+        for n in numbers
+    }
+
+
 def cross_validated(
     df: DataFrame,
     features: Sequence[str],
-    models: Mapping[str, Estimator],
+    models: Mapping[str, Estimator | Least | Lasso],
     group: str = "cod_mun",
     target: str = TARGET,
     folds: int = MAX_FOLDS,
@@ -102,10 +118,21 @@ def cross_validated(
 ) -> DataFrame:
     """(model, mae, rmse, r2): means over folds of the metrics on left-out groups, least MAE first.
 
-    The table with its folds is written once, because every fit reads it again.
+    The table with its folds is written once. Linear models take every training set from sums over
+    the folds, in one scan, and are scored together in another; others read the table for each fit.
     """
-    table = cut_lineage(df.join(group_folds(df, group, folds), group))
-    numbers = sorted(r.fold for r in table.select("fold").distinct().collect())
+    dealt = df.join(group_folds(df, group, folds), group)
+    table, seen = cut_lineage_observed(dealt, "folds", numbers=F.collect_set("fold"), **scale_figures(features, target))
+    numbers = sorted(seen["numbers"])
+    from_sums = {name: m for name, m in models.items() if isinstance(m, (Least, Lasso))}
+    scored = []
+    if from_sums:
+        fits = moment_fits(table, features, from_sums, seen, numbers, target)
+        values = [
+            F.struct(F.lit(name).alias("model"), F.coalesce(*[F.when(F.col("fold") == n, fits[name, n].linear_value()) for n in numbers]).alias("previsto"))
+            for name in from_sums
+        ]
+        scored.append(table.select("fold", target, F.inline(F.array(*values))).select("model", "fold", target, "previsto"))
 
     def left_out_predictions(name: str, number: int) -> DataFrame:
         fitted = fit_pipeline(table.filter(F.col("fold") != number), features, models[name], target)
@@ -113,10 +140,10 @@ def cross_validated(
         return predicted.select(F.lit(name).alias("model"), "fold", target, "previsto")
 
     # Fits are independent, so several are submitted at a time; Spark schedules their jobs side by side.
-    tasks = [(name, number) for name in models for number in numbers]
+    tasks = [(name, number) for name in models if name not in from_sums for number in numbers]
     session = df.sparkSession
     with ThreadPoolExecutor(parallelism) as pool:
-        scored = list(pool.map(inheritable_thread_target(session)(lambda t: left_out_predictions(*t)), tasks))
+        scored += pool.map(inheritable_thread_target(session)(lambda t: left_out_predictions(*t)), tasks)
     per_fold = regression_metrics(reduce(DataFrame.union, scored), target, "previsto", ["model", "fold"])
     means = per_fold.groupBy("model").agg(*[F.avg(m).alias(m) for m in ("mae", "rmse", "r2")])
     return means.orderBy("mae", "model")

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from igarape.constants import PERCENT_NAME_STARTS, PERMUTATION_REPEATS, SCENARIOS, SEED, TARGET
 from igarape.functions.numeric import clip
 from igarape.models.estimators import FittedPipeline
+from igarape.models.exchange import exchanged, round_key
 from igarape.operators.ordering import with_place
+from igarape.session import cut_lineage_observed
+
 
 def permutation_importance(
     fitted: FittedPipeline,
@@ -22,23 +25,19 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, valor): absolute mean rise of MAE when the feature's values are exchanged.
 
-    `keys` identify a row. Every repeat is one random order of all rows, shared by
-    the features: the row at place p of the key order receives the values of the
-    row at place p of the random order. Places come from a range-partitioned sort,
-    so no task holds a whole order; features are exploded after the join, where
-    nothing is shuffled any more, and all of them are scored in one pass.
+    `keys` identify a row and give it a place, by one range-partitioned sort. In a repeat the row at a
+    place receives the values of the row that the repeat's bijection of places names, so every value is
+    used once, and no task holds a whole order. Features share the exchange; they are exploded after the
+    join, where nothing is shuffled any more, and all of them are scored in one pass.
     """
     features = fitted.preprocessing.features
     base = df.select(*keys, target, *[F.col(c).cast("double").alias(c) for c in features])
-    rows = df.count()
     placed = with_place(base, [F.col(k) for k in keys], "place").drop(*keys)
-    dealt = base.select(
-        *keys, F.struct(*features).alias("other"), F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
-    )
-    # Equal hashes only fall back to the key order.
-    shuffled = with_place(dealt, [F.col("repeat"), F.xxhash64(F.lit(seed), "repeat", *keys), *map(F.col, keys)], "index")
-    others = shuffled.select("other", (F.col("index") - (F.col("repeat") - 1) * F.lit(rows)).alias("place"))
-    joined = others.join(placed, "place")
+    placed, seen = cut_lineage_observed(placed, "placed", rows=F.count(F.lit(1)))
+    dealt = placed.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    partner = exchanged(F.col("place"), seen["rows"], round_key(seed, F.col("repeat")))
+    others = placed.select(F.col("place").alias("other_place"), F.struct(*features).alias("other"))
+    joined = dealt.withColumn("other_place", partner).join(others, "other_place")
     swapped = joined.withColumn("swapped_feature", F.explode(F.array(*map(F.lit, features)))).withColumns(
         {c: F.when(F.col("swapped_feature") == c, F.col(f"other.{c}")).otherwise(F.col(c)) for c in features}
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.constants import FEATURE_CANDIDATES, TARGET
@@ -39,13 +39,13 @@ class Preprocessing:
     means: dict[str, float]
     deviations: dict[str, float]
 
+    def scaled(self, feature: str) -> Column:
+        """A feature imputed, centred and divided by its population deviation."""
+        filled = F.coalesce(F.col(feature).cast("double"), F.lit(self.medians[feature]))
+        return (filled - F.lit(self.means[feature])) / F.lit(self.deviations[feature])
+
     def columns(self, df: DataFrame) -> DataFrame:
-        """Each feature imputed, centred and divided by its population deviation."""
-        scaled = {}
-        for c in self.features:
-            filled = F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))
-            scaled[f"x_{c}"] = (filled - F.lit(self.means[c])) / F.lit(self.deviations[c])
-        return df.withColumns(scaled)
+        return df.withColumns({f"x_{c}": self.scaled(c) for c in self.features})
 
     def vectors(self, df: DataFrame) -> DataFrame:
         names = [f"x_{c}" for c in self.features]

@@ -19,13 +19,16 @@ def value_domain(frames: Sequence[DataFrame], column: str) -> DataFrame:
     return reduce(DataFrame.union, parts).distinct()
 
 
-def key_grid(dimension: DataFrame, domain: DataFrame, column: str) -> DataFrame:
-    """Every dimension row with every value of the domain.
+def key_grid(dimension: DataFrame, domain: DataFrame | Sequence, column: str, kind: str | None = None) -> DataFrame:
+    """Every dimension row with every value of the domain, a one-column table or a list of values of type `kind`.
 
-    The domain (years) is a short list; it travels as one array value that each
+    The domain (years) is short; it travels as one array value that each
     dimension row explodes, so there is no join.
     """
-    values = domain.agg(F.sort_array(F.collect_set(column))).scalar()
+    if isinstance(domain, DataFrame):
+        values = domain.agg(F.sort_array(F.collect_set(column))).scalar()
+    else:
+        values = F.array(*[F.lit(v) for v in sorted(domain)]).cast(f"array<{kind}>")
     return dimension.select("*", F.explode(values).alias(column))
 
 

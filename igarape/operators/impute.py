@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.operators.medians import exact_medians, whole_medians
-from igarape.session import cut_lineage
+from igarape.session import cut_lineage_observed
 
 
 def _builtin_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -22,7 +22,8 @@ def fill_group_then_global_median(
 
     All columns share one aggregate per step. The group medians form a small
     table that is joined back. The table filled by group is written once; the
-    global medians are one row, learnt from it without gathering the values.
+    write tells which columns still have NULLs, and their global medians are one
+    row, learnt from it without gathering the values.
 
     key_grain: the table has one row per key and period (municipality x year), so
     a group is short and the built-in median may hold it. Otherwise the medians
@@ -38,8 +39,9 @@ def fill_group_then_global_median(
         .withColumns({c: F.coalesce(c, f"_median_{c}") for c in present})
         .select(*df.columns)
     )
-    written = cut_lineage(filled, "filled")
+    gaps = {f"gaps_{c}": F.count_if(F.col(c).isNull()) for c in present}
+    written, seen = cut_lineage_observed(filled, "filled", **gaps)
     kinds = dict(df.dtypes)
-    overall = whole_medians(written, present)
+    overall = whole_medians(written, [c for c in present if seen[f"gaps_{c}"]])
     known = {c: F.lit(value).cast(kinds[c]) for c, value in overall.items() if value is not None}
     return written.withColumns({c: F.coalesce(c, value) for c, value in known.items()})

@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.functions.text import digits_only, zero_fill
-from igarape.session import cut_lineage
+from igarape.operators.hot_join import join_unsummed
+from igarape.session import cut_lineage_observed, lasting_path
+from igarape.sinks.replace import Replacement
+from igarape.sources.delimited import SOURCE_FILE
 
 
 def either_key(dimension: DataFrame) -> DataFrame:
@@ -74,18 +77,24 @@ def fallback_columns(
     return joined.withColumns(filled).drop(*[f"_second_{c}" for c in shared])
 
 
-def require_all_found(df: DataFrame, dimension: DataFrame, key: str) -> None:
-    """Raise with the number of codes of `df` that the dimension lacks, and where they are all listed.
+def require_all_found(df: DataFrame, dimension: DataFrame, key: str, report: str | None = None) -> None:
+    """Raise if `df` has codes that the dimension lacks; they are all in the table `report`, which stays.
 
-    Only the key column is read. The first codes are named; the whole list is a table in the
-    shared folder, since it may be as long as the input.
+    It has a row per code with the number of rows and, where `df` tells it, the first source file.
+    Without `report` the table lies in the shared folder, beside the one that goes with the application.
+    The message names the folder and the first codes.
     """
-    missing = df.select(key).distinct().join(dimension.select(key), key, "left_anti")
-    listed = cut_lineage(missing.orderBy(key), "codes-without-municipality")
-    total = listed.count()
-    if total:
-        first = ", ".join(str(row[0]) for row in listed.orderBy(key).limit(20).collect())
-        raise ValueError(f"{total} codes without a municipality, all in {listed.inputFiles()[0]}: {first}")
+    source = [F.min(SOURCE_FILE).alias(SOURCE_FILE)] if SOURCE_FILE in df.columns else []
+    codes = df.groupBy(key).agg(F.count("*").alias("rows"), *source)
+    missing, seen = cut_lineage_observed(
+        codes.join(dimension.select(key), key, "left_anti"), "codes-without-municipality", n=F.count(F.lit(1))
+    )
+    if seen["n"]:
+        path = report or lasting_path(df.sparkSession, "codes-without-municipality")
+        with Replacement(df.sparkSession) as targets:
+            targets.table(missing, path, order=[key])
+        first = ", ".join(str(row[0]) for row in missing.orderBy(key).limit(20).collect())
+        raise ValueError(f"{seen['n']} codes without a municipality, all in {path}: {first}")
 
 
 def fan_out(df: DataFrame, bridge: DataFrame, key: str) -> DataFrame:
@@ -96,3 +105,8 @@ def fan_out(df: DataFrame, bridge: DataFrame, key: str) -> DataFrame:
 def keep_members(df: DataFrame, members: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows whose key occurs in `members`."""
     return df.join(members, on, "left_semi")
+
+
+def keep_members_unsummed(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """The same for rows that are many and of which one key may have a large share."""
+    return join_unsummed(df, members.select(key), key, "left_semi")

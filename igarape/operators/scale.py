@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from igarape.functions.numeric import repair_scale
 from igarape.operators.medians import whole_medians
+from igarape.session import cut_lineage_observed
 
 # A spread up to this size counts as constant.
 _CONSTANT = 1e-8
@@ -17,15 +18,16 @@ _CONSTANT = 1e-8
 def with_minmax(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     """Add (x - min) / (max - min) per column under prefix + name; a constant column gives 0.
 
-    NULLs take the column's median first. One aggregate finds the limits and the
-    columns with NULLs; medians are only worked out for those. `df` should be a
-    written table, since its statistics are read at once.
+    NULLs take the column's median first. `df` is written once, and the write
+    finds the limits and the columns with NULLs; medians are only worked out for those.
     """
-    row = df.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"low_{c}") for c in columns],
-        *[F.max(F.col(c).cast("double")).alias(f"high_{c}") for c in columns],
-        *[F.count_if(F.col(c).isNull()).alias(f"gaps_{c}") for c in columns],
-    ).first()
+    df, row = cut_lineage_observed(
+        df,
+        "scaled",
+        **{f"low_{c}": F.min(F.col(c).cast("double")) for c in columns},
+        **{f"high_{c}": F.max(F.col(c).cast("double")) for c in columns},
+        **{f"gaps_{c}": F.count_if(F.col(c).isNull()) for c in columns},
+    )
     gaps = [c for c in columns if row[f"gaps_{c}"] and row[f"low_{c}"] is not None]
     medians = whole_medians(df, gaps) if gaps else {}
     scaled = {}

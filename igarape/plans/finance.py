@@ -11,7 +11,7 @@ from igarape.functions.text import indicator_code, zero_fill
 from igarape.operators.lookup import either_key, require_all_found, with_canonical_code
 from igarape.operators.reshape import cells_to_columns
 from igarape.schemas import FINANCE_SILVER, conform
-from igarape.sources.delimited import read_by_header
+from igarape.sources.delimited import SOURCE_FILE, read_by_header
 
 _COLUMNS = ["cod_mun", "ano", "periodo", "numero_indicador", "numerador", "denominador"]
 
@@ -23,11 +23,12 @@ def read_finance_indicators(spark: SparkSession, paths: str | list[str]) -> Data
         to_whole("ano").alias("ano"),
         to_whole("periodo").alias("periodo"),
         *[to_number(c).alias(c) for c in _COLUMNS[3:]],
+        SOURCE_FILE,
     )
 
 
-def finance_silver(indicators: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Scaled ratios by indicator, two decimals; a code without a municipality is an error.
+def finance_silver(indicators: DataFrame, dimension: DataFrame, report: str | None = None) -> DataFrame:
+    """Scaled ratios by indicator, two decimals; a code without a municipality is an error, see `require_all_found`.
 
     Rows of a municipality count together, whether its code has six or seven digits.
     """
@@ -38,7 +39,7 @@ def finance_silver(indicators: DataFrame, dimension: DataFrame) -> DataFrame:
         }
     ).filter(F.col("codigo").isin(list(FINANCE_INDICATORS)))
     keys = either_key(dimension).select("lookup_code", F.col("cod_mun").alias("cod_mun_7"), F.upper("name").alias("municipio"))
-    require_all_found(listed, keys, "lookup_code")
+    require_all_found(listed, keys, "lookup_code", report)
     coded = listed.join(keys, "lookup_code").withColumn("cod_mun", F.col("cod_mun_7"))
     scale = F.create_map(
         *[F.lit(x) for code, (_, factor) in FINANCE_INDICATORS.items() for x in (code, factor)]

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from igarape.functions.numeric import guarded_ratio, nan_to_null
-from igarape.operators.grid import key_grid, value_domain
+from igarape.operators.grid import key_grid
 from igarape.operators.reshape import keys_first
-from igarape.session import cut_lineage
+from igarape.session import cut_lineage_observed
 
 
 def joined_on_grid(
@@ -22,8 +22,8 @@ def joined_on_grid(
     Each source has one row per (key, period); two of them are an error, since
     merging them would make a row that never existed. Instead of a chain of joins
     the sources are stacked and merged by one aggregate, in which max only picks
-    the single value. NaN counts as NULL. The result, as small as the grid, is written once, because both
-    the period domain and the join need it and must not scan the facts twice.
+    the single value. NaN counts as NULL. The result, as small as the grid, is written once, since
+    the grid's periods are those that the write has seen.
     """
     numbered = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
@@ -36,8 +36,8 @@ def joined_on_grid(
     )
     text = F.concat(F.lit("a source has several rows for "), F.concat_ws(", ", key, period))
     single = merged.filter(F.when(F.col("_rows") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).drop("_rows")
-    written = cut_lineage(single)
-    grid = key_grid(dimension, value_domain([written], period), period)
+    written, seen = cut_lineage_observed(single, "gold", periods=F.collect_set(period))
+    grid = key_grid(dimension, seen["periods"], period, written.schema[period].dataType.simpleString())
     return grid.join(written, [key, period], "left")
 
 

@@ -18,6 +18,8 @@ from igarape.operators.lookup import either_key, with_canonical_code
 from igarape.operators.reshape import sum_by_class
 from igarape.sources.delimited import SOURCE_FILE, read_archives, read_by_header
 
+# Rows without these never count, so a file that lacks one would be lost as a whole.
+_NEEDED = ["uf", "codigo", "ano_ref", "mes_ref", "parametro_texto", "campo", "valor_texto"]
 _OPTIONAL_TEXT = [
     "ponto_monitoramento",
     "forma_abastecimento_tipo",
@@ -50,7 +52,7 @@ _CLASS_COLUMNS = {
 
 
 def read_water_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Sample rows of all CSV files and ZIP archives of a folder."""
+    """Sample rows of all CSV files and ZIP archives of a folder; a file that lacks a needed column is an error."""
     wanted = {c: [h] for c, h in WATER_HEADERS.items()}
     parts = []
     for suffix in ("csv", "zip"):
@@ -59,9 +61,9 @@ def read_water_samples(spark: SparkSession, folder: str) -> DataFrame:
             continue
         pattern = f"{folder}/*.{suffix}"
         if suffix == "csv":
-            parts.append(read_by_header(spark, pattern, wanted, separator=";", encoding="ISO-8859-1"))
+            parts.append(read_by_header(spark, pattern, wanted, separator=";", encoding="ISO-8859-1", required=_NEEDED))
         else:
-            parts.append(read_archives(spark, pattern, wanted))
+            parts.append(read_archives(spark, pattern, wanted, required=_NEEDED))
     if not parts:
         raise FileNotFoundError(f"no CSV or ZIP file in {folder}")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

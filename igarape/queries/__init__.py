@@ -4,9 +4,11 @@ from igarape.queries import (  # noqa: F401  (importing registers the queries)
     aggregates,
     flagship,
     keys,
+    layers,
     modelling,
     panel,
     plans,
+    roundtrips,
     scans,
     texts,
 )

@@ -17,6 +17,7 @@ from igarape.models.evaluation import (
     temporal_split,
     with_errors,
 )
+from igarape.models.exchange import FACTORS
 from igarape.models.explain import impact_summary, permutation_importance, scenario_impact, with_scenarios
 from igarape.models.features import feature_names, fit_preprocessing, model_table, standardized
 from igarape.queries import facts
@@ -319,6 +320,86 @@ def cross_validated_single(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(cross_validated(_table(spark, folder), [_ONE], {"LinearRegression": linear()}), 4)
 
 
+@query(
+    "linear_normal_equations",
+    f"""WITH {ANALYSIS_SQL} SELECT feature, TRUE AS orthogonal FROM (
+      {" UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n FROM ana" for c in _FEATURES)}) WHERE n >= 0""",
+)
+def linear_normal_equations(spark: SparkSession, folder: str) -> DataFrame:
+    """The residual of the linear fit with all features is uncorrelated with each feature."""
+    return _pulls(spark, folder, linear()).select("feature", (F.abs("pull") < 1e-6).alias("orthogonal"))
+
+
+@query(
+    "lasso_optimality",
+    f"""WITH {ANALYSIS_SQL} SELECT feature, TRUE AS within, TRUE AS tight FROM (
+      {" UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n FROM ana" for c in _FEATURES)}) WHERE n >= 0""",
+)
+def lasso_optimality(spark: SparkSession, folder: str) -> DataFrame:
+    """No feature pulls more than the penalty, and those with a coefficient pull just as much, with its sign."""
+    pull, b, alpha = F.col("pull"), F.col("valor"), F.lit(lasso().alpha)
+    return _pulls(spark, folder, lasso()).select(
+        "feature",
+        (F.abs(pull) <= alpha + 1e-6).alias("within"),
+        ((b == 0) | (F.abs(pull - F.signum(b) * alpha) < 1e-6)).alias("tight"),
+    )
+
+
+def _pulls(spark: SparkSession, folder: str, model) -> DataFrame:
+    """(feature, valor, pull): coefficients, and mean products of the scaled features with the residual, over the rows."""
+    rows = _table(spark, folder)
+    features = feature_names(rows)
+    fitted = fit_pipeline(rows, features, model)
+    rest = F.col(TARGET) - F.col("previsto")
+    scored = fitted.preprocessing.columns(fitted.predict(rows, "previsto"))
+    cells = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), F.lit(float(b)).alias("valor"), (F.col(f"x_{c}") * rest).alias("product"))
+            for c, b in zip(features, fitted.model.coefficients)
+        ]
+    )
+    return scored.select(F.inline(cells)).groupBy("feature", "valor").agg(F.avg("product").alias("pull"))
+
+
+def _exchange_sql(at: str, key: str) -> str:
+    """The bijection of `models.exchange` on a row with a and b, in SQL."""
+    sides = [f"({at} // b)", f"({at} % b)"]
+    for i, factor in enumerate(FACTORS):
+        mixed = f"((({sides[1 - i % 2]} + {key} + {i}) & 2147483647) * {factor})"
+        sides[i % 2] = f"(({sides[i % 2]} + ({mixed} >> 16)) % {'ab'[i % 2]})"
+    return f"({sides[0]} * b + {sides[1]})"
+
+
+@query(
+    "permutation_single",
+    f"""WITH RECURSIVE {ANALYSIS_SQL},
+    line AS (SELECT regr_slope({TARGET}, {_ONE}) AS s, regr_intercept({TARGET}, {_ONE}) AS i FROM ana WHERE ano < {HOLDOUT}),
+    held AS (
+      SELECT row_number() OVER (ORDER BY cod_mun, ano) - 1 AS place, {_ONE} AS x, {TARGET} AS t FROM ana
+      WHERE ano = {HOLDOUT} AND {TARGET} IS NOT NULL),
+    sizes AS (
+      SELECT n, a, (n + a - 1) // a AS b FROM (
+        SELECT n, CASE WHEN r * r < n THEN r + 1 ELSE r END AS a FROM (
+          SELECT count(*) AS n, CAST(floor(sqrt(count(*))) AS BIGINT) AS r FROM held))),
+    walk AS (
+      SELECT repeat, place, {_exchange_sql('place', 'k')} AS spot, k, n, a, b
+      FROM (SELECT place, r.repeat, (42 * 1000003 + r.repeat * 7919) & 2147483647 AS k, sizes.*
+            FROM held, sizes, (SELECT unnest(range(1, 51)) AS repeat) r)
+      UNION ALL
+      SELECT repeat, place, {_exchange_sql('spot', 'k')}, k, n, a, b FROM walk WHERE spot >= n),
+    swapped AS (
+      SELECT abs(s * other.x + i - own.t) AS e FROM walk JOIN held own ON own.place = walk.place
+      JOIN held other ON other.place = walk.spot, line WHERE walk.spot < n)
+    SELECT '{_ONE}' AS feature,
+      round(abs((SELECT avg(e) FROM swapped) - (SELECT avg(abs(s * x + i - t)) FROM held, line)), 6) AS valor""",
+)
+def permutation_single(spark: SparkSession, folder: str) -> DataFrame:
+    """Permutation importance with one feature: the same exchange of places in SQL."""
+    train, test = temporal_split(_table(spark, folder), HOLDOUT)
+    fitted = fit_pipeline(train, [_ONE], linear())
+    return rounded(permutation_importance(fitted, test, ["cod_mun", "ano"]))
+
+
 _EXPORTED = "2024-05-06T07:08:09+00:00"
 
 

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from igarape.functions.numeric import decimal_comma_number
+from igarape.operators.hot_join import join_unsummed
 from igarape.plans import admissions, finance, population, water_quality
 from igarape.queries import facts
 from igarape.queries.registry import query, rounded, table
 
 
 def _orders_with_code(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("nationkey"))
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nationkey"))
     codes = facts.nations(spark, folder).select("nationkey", "cod_mun")
-    # One row per customer is joined to orders; adaptive execution splits a customer with very many.
-    return table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).join(codes, "nationkey")
+    return join_unsummed(table(spark, folder, "orders"), customers, "o_custkey").join(codes, "nationkey")
 
 
 @query(
@@ -32,7 +32,12 @@ def _orders_with_code(spark: SparkSession, folder: str) -> DataFrame:
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN dim d ON c_nationkey = d.nationkey GROUP BY 1, 2""",
 )
 def admissions_plan(spark: SparkSession, folder: str) -> DataFrame:
-    """Records with six-digit codes and a decimal comma, to monthly and then yearly totals."""
+    silver = admissions_silver_rows(spark, folder)
+    return rounded(admissions.admissions_by_year(silver, facts.nations(spark, folder).drop("nationkey")), 2)
+
+
+def admissions_silver_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with six-digit codes and a decimal comma, to monthly totals."""
     diagnosis = (
         F.when(F.col("o_orderpriority").startswith("1-"), "A09.0")
         .when(F.col("o_orderpriority").startswith("2-"), " e86")
@@ -48,8 +53,7 @@ def admissions_plan(spark: SparkSession, folder: str) -> DataFrame:
         price.alias("VAL_TOT"),
     )
     dimension = facts.nations(spark, folder).drop("nationkey")
-    silver = admissions.admissions_silver(raw, dimension, number=decimal_comma_number)
-    return rounded(admissions.admissions_by_year(silver, dimension), 2)
+    return admissions.admissions_silver(raw, dimension, number=decimal_comma_number)
 
 
 @query(
@@ -67,11 +71,17 @@ def admissions_plan(spark: SparkSession, folder: str) -> DataFrame:
 )
 def percentile_mean(spark: SparkSession, folder: str) -> DataFrame:
     """Yearly totals per parameter; groups without a percentile do not count in its mean."""
-    suppliers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nationkey"))
+    silver = percentile_silver(spark, folder)
+    return rounded(water_quality.quality_by_parameter(silver, facts.nations(spark, folder).drop("nationkey")))
+
+
+def percentile_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as groups of samples."""
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("nationkey"))
     codes = facts.nations(spark, folder).select("nationkey", "cod_mun")
-    items = table(spark, folder, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(codes, "nationkey")
+    items = join_unsummed(table(spark, folder, "lineitem"), suppliers, "l_suppkey").join(codes, "nationkey")
     good = F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)
-    silver = items.select(
+    return items.select(
         F.when(F.col("l_linenumber") > 3, F.left("cod_mun", F.lit(6))).otherwise(F.col("cod_mun")).alias("cod_mun"),
         F.year("l_shipdate").alias("ano"),
         F.col("l_returnflag").alias("parametro"),
@@ -80,7 +90,6 @@ def percentile_mean(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_quantity") - good).alias("amostras_nao_conformes"),
         F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber").cast("double")).alias("percentil_95"),
     )
-    return rounded(water_quality.quality_by_parameter(silver, facts.nations(spark, folder).drop("nationkey")))
 
 
 @query(
@@ -118,15 +127,19 @@ def finance_plan(spark: SparkSession, folder: str) -> DataFrame:
     FROM customer JOIN dim d ON c_nationkey = d.nationkey GROUP BY 1, 2""",
 )
 def population_plan(spark: SparkSession, folder: str) -> DataFrame:
+    silver = population.population_silver(population_rows(spark, folder))
+    return population.population_by_year(silver, facts.nations(spark, folder).drop("nationkey"))
+
+
+def population_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as landed estimates, with codes of six and of seven digits."""
     codes = facts.nations(spark, folder).select("nationkey", F.col("cod_mun").alias("code"))
     customers = table(spark, folder, "customer").join(codes, F.col("c_nationkey") == F.col("nationkey"))
-    rows = customers.select(
+    return customers.select(
         F.when(F.col("c_custkey") % 2 == 0, F.left("code", F.lit(6))).otherwise(F.col("code")).alias("cod_mun"),
         F.concat((F.col("c_custkey") % 9).cast("string"), F.lit(".0")).alias("ano"),
         F.col("c_custkey").cast("string").alias("populacao"),
     )
-    silver = population.population_silver(rows)
-    return population.population_by_year(silver, facts.nations(spark, folder).drop("nationkey"))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from igarape.functions.numeric import to_number, to_whole
 from igarape.functions.text import contains_any, diagnosis_code, starts_with_any, upper_ascii
 from igarape.operators.cells import column_per_role, first_matching_row, lines_after
-from igarape.operators.lookup import either_key, keep_members
+from igarape.operators.lookup import either_key, keep_members, keep_members_unsummed
 from igarape.operators.ordering import occurrence_number
 from igarape.operators.reshape import harmonised, keys_first
 from igarape.queries import facts
@@ -209,7 +209,7 @@ def semi_join_dim(spark: SparkSession, folder: str) -> DataFrame:
     region = table(spark, folder, "nation").filter(F.col("n_regionkey") == 1).select(F.col("n_nationkey").alias("c_nationkey"))
     customers = keep_members(table(spark, folder, "customer"), region, "c_nationkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return keep_members(orders, customers.select(F.col("c_custkey").alias("o_custkey")), "o_custkey").select(
+    return keep_members_unsummed(orders, customers.select(F.col("c_custkey").alias("o_custkey")), "o_custkey").select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )
 

@@ -7,9 +7,11 @@ import io
 import os
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "igarape", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,32 +33,36 @@ def build_session(app_name: str = "igarape", master: str | None = None, **conf:
     return session
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """The Hadoop file system of a path, and the path."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def _shared_parent(spark: SparkSession) -> str:
+    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (parent or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables of this application; it goes when the application ends.
 
     It lies below ``spark.checkpoint.dir`` (or the context's checkpoint folder). Where neither is
     set it lies below the warehouse, which executors share as well, in every mode.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    parent = parent or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{parent.rstrip('/')}/_igarape-{spark.sparkContext.applicationId}"
+    folder = f"{_shared_parent(spark)}/_igarape-{spark.sparkContext.applicationId}"
     if folder not in _known:
-        file_system, path = _file_system(spark, folder)
-        file_system.mkdirs(path)
-        atexit.register(_clear, file_system, path)
+        system, path = file_system(spark, folder)
+        system.mkdirs(path)
+        atexit.register(_clear, system, path)
         _known.add(folder)
     return folder
 
 
-def _clear(file_system, path) -> None:
+def _clear(system, path) -> None:
     try:
-        file_system.delete(path, True)
+        system.delete(path, True)
     except Py4JError:
         pass  # the JVM has gone before
 
@@ -66,14 +72,35 @@ _known: set[str] = set()
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def lasting_path(spark: SparkSession, label: str) -> str:
+    """A new path beside the shared folder, for what must outlive the application."""
+    return f"{_shared_parent(spark)}/igarape-{label}-{uuid.uuid4().hex}"
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Tables written to the shared folder within the block go when it ends."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        drop_scratch(spark, *_scopes.pop())
 
 
 def drop_scratch(spark: SparkSession, *paths: str) -> None:
     """Delete intermediate tables that no later step reads."""
     for item in paths:
-        file_system, path = _file_system(spark, item)
-        file_system.delete(path, True)
+        system, path = file_system(spark, item)
+        system.delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
@@ -82,9 +109,24 @@ def cut_lineage(df: DataFrame, label: str = "table") -> DataFrame:
     What follows restarts from these files, not from the sources, also after an
     executor is lost. Parquet keeps column pruning and gives joins a known size.
     """
+    return cut_lineage_observed(df, label)[0]
+
+
+def cut_lineage_observed(df: DataFrame, label: str = "table", **figures: Column) -> tuple[DataFrame, dict]:
+    """`cut_lineage`, and the aggregates `figures` of the rows, which the write works out on its way."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = observed_write(df, lambda rows: rows.write.parquet(path), **figures)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen
+
+
+def observed_write(df: DataFrame, write: Callable[[DataFrame], None], **figures: Column) -> dict:
+    """Do `write` with `df`; the aggregates `figures` of the rows that went through, without another scan."""
+    if not figures:
+        write(df)
+        return {}
+    observation = Observation()
+    write(df.observe(observation, *[column.alias(name) for name, column in figures.items()]))
+    return observation.get
 
 
 def ship_package(spark: SparkSession) -> None:

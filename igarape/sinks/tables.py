@@ -1,4 +1,4 @@
-"""Parquet tables and CSV exports."""
+"""Parquet tables and CSV exports, one target at a time. Jobs with several targets use `Replacement` itself."""
 
 from __future__ import annotations
 
@@ -8,69 +8,62 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from igarape.session import cut_lineage
+from igarape.sinks.replace import Replacement, read_target
 
-
-def _partitioned(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Gathers a partition's rows into few files, yet splits a partition that is large.
-    return df.hint("rebalance", *[F.col(k) for k in keys])
-
-
-def checked(df: DataFrame, what: str) -> DataFrame:
-    """`df` written aside and read back; without rows an error, so that no target is touched."""
-    written = cut_lineage(df)
-    if written.isEmpty():
-        raise ValueError(f"no rows: {what}")
-    return written
+__all__ = [
+    "export_csv",
+    "generation_time",
+    "read_target",
+    "replace_table",
+    "replace_touched_partitions",
+    "replace_with_csv_twin",
+    "stamped",
+    "with_csv_twin",
+]
 
 
 def replace_touched_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Overwrite only the partitions present in `df`; all others stay."""
-    (
-        _partitioned(df, keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    """Replace only the partitions present in `df`; all others stay."""
+    with Replacement(df.sparkSession) as targets:
+        targets.partitions(df, path, keys)
 
 
 def replace_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """Overwrite the whole target."""
-    rows = _partitioned(df, keys) if keys else df
-    writer = (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("compression", "snappy")
-    )
-    if keys:
-        writer = writer.partitionBy(*keys)
-    writer.parquet(path)
-
-
-def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Replace the whole target."""
+    with Replacement(df.sparkSession) as targets:
+        targets.table(df, path, keys)
+
+
+def export_csv(df: DataFrame, path: str, order: Sequence[str] = (), may_be_empty: bool = False) -> None:
     """CSV folder with headers; a small table ends up in one file by adaptive coalescing.
 
     With `order`, file after file is sorted by these columns.
     """
-    rows = df.orderBy(*order) if order else df
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    with Replacement(df.sparkSession) as targets:
+        targets.csv(df, path, order, may_be_empty)
 
 
-def replace_with_csv_twin(
-    df: DataFrame, parquet_path: str, csv_path: str, order: Sequence[str] = ()
+def with_csv_twin(
+    targets: Replacement, df: DataFrame, parquet_path: str, csv_path: str, order: Sequence[str] = (), unique: Sequence[str] = (), what: str = ""
 ) -> DataFrame:
-    """Write Parquet, then the CSV twin from the written Parquet, so `df` is computed once.
+    """Parquet and, from the rows written, its CSV twin, so `df` is computed once.
 
     Files are read back in any order, so the twin is sorted anew.
     """
-    replace_table(df.orderBy(*order) if order else df, parquet_path)
-    written = df.sparkSession.read.schema(df.schema).parquet(parquet_path)
-    export_csv(written, csv_path, order)
+    written = targets.table(df, parquet_path, order=order, unique=unique, what=what)
+    targets.csv(written, csv_path, order)
     return written
 
 
+def replace_with_csv_twin(
+    df: DataFrame, parquet_path: str, csv_path: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """A table and its CSV twin, replaced together."""
+    with Replacement(df.sparkSession) as targets:
+        with_csv_twin(targets, df, parquet_path, csv_path, order)
+    return read_target(df.sparkSession, parquet_path)
+
+
 def generation_time() -> str:
     """The present UTC time as ISO text; taken once and shared by all tables of a run."""
     return datetime.now(timezone.utc).isoformat()

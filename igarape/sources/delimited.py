@@ -7,22 +7,26 @@ the wanted columns are parsed; the groups are then united by name.
 
 from __future__ import annotations
 
+import codecs
 import csv
-import io
+import warnings
 import zipfile
 from collections import defaultdict
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import csv as csv_reader
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from igarape.session import cut_lineage
 from igarape.sources.files import archive_members, first_lines, open_path, split_header
 
 SOURCE_FILE = "fonte_arquivo"
-_BATCH = 20_000
+# Files named in a message.
+_NAMED = 20
 
 
 def same_text(header: str) -> str:
@@ -51,6 +55,10 @@ def positions(
     return found
 
 
+def _lacking(count: int, named: Sequence[str]) -> ValueError:
+    return ValueError(f"columns missing in {count} files: {'; '.join(named)}")
+
+
 def read_by_header(
     spark: SparkSession,
     paths: str | list[str],
@@ -82,7 +90,7 @@ def read_by_header(
             lacking += [f"{path} ({', '.join(missing)})" for path in files]
         layouts[len(header), tuple(found.items())] += files
     if lacking:
-        raise ValueError(f"columns missing in {len(lacking)} files: {'; '.join(lacking)}")
+        raise _lacking(len(lacking), lacking[:_NAMED])
     parts = []
     for (width, found), files in layouts.items():
         place = dict(found)
@@ -117,35 +125,81 @@ def read_archives(
     separator: str = ";",
     encoding: str = "ISO-8859-1",
     normalise: Callable[[str], str] = same_text,
+    required: Sequence[str] = (),
+    row_bytes: int = 1 << 24,
 ) -> DataFrame:
-    """The same table from CSV members of ZIP archives.
+    """The same table from CSV members of ZIP archives, with the same error for missing columns.
 
-    One task reads one member, streaming it from storage in batches, so neither
-    an archive nor a member is held whole; a large archive is spread by member.
+    One task reads one member, streaming it from storage through Arrow's CSV reader, so neither an
+    archive nor a member is held whole; a large archive is spread by member. A line may have up to
+    `row_bytes` bytes. Fields that a short line lacks are NULL, and surplus ones are left out.
+    Archives without CSV members are named in a warning.
     """
     names = list(wanted)
+    found = cut_lineage(archive_members(spark, paths, ".csv", separator, encoding), "members")
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lacking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
+            rows = []
+            for path, member, header in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                missing = [c for c in required if c not in positions(header, wanted, normalise)]
+                if member is None:
+                    rows.append((path, None))
+                elif header and missing:
+                    rows.append((f"{path}/{member}", ", ".join(missing)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(2)], ["path", "missing"])
+
+    odd = cut_lineage(found.select("path", "member", "header").mapInArrow(lacking, "path string, missing string"), "odd-members")
+    for missing, test in ((True, "missing IS NOT NULL"), (False, "missing IS NULL")):
+        some = odd.filter(test)
+        first = some.orderBy("path").limit(_NAMED).collect()
+        if missing and first:
+            raise _lacking(some.count(), [f"{r.path} ({r.missing})" for r in first])
+        if first:
+            warnings.warn(f"{some.count()} archives without CSV members: {'; '.join(r.path for r in first)}", stacklevel=2)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, member, header in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                place = positions(header, wanted, normalise)
                 with open_path(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(member) as body:
-                    text = io.TextIOWrapper(body, encoding=encoding, errors="replace", newline="")
-                    reader = csv.reader(text, delimiter=separator)
-                    found = positions(next(reader, []), wanted, normalise)
-                    source = path.rsplit("/", 1)[-1]
-                    block = []
-                    for fields in reader:
-                        block.append(
-                            [fields[found[c]] if found.get(c, len(fields)) < len(fields) else None for c in names]
-                            + [source]
-                        )
-                        if len(block) == _BATCH:
-                            yield pd.DataFrame(block, columns=[*names, SOURCE_FILE])
-                            block = []
-                    yield pd.DataFrame(block, columns=[*names, SOURCE_FILE], dtype="object")
+                    yield from member_batches(body, len(header), place, names, path.rsplit("/", 1)[-1], separator, encoding, row_bytes)
 
     # A fixed number of partitions, because adaptive execution would merge these tiny rows into one task.
-    members = archive_members(spark, paths, ".csv").repartition(
+    members = found.filter("size(header) > 0").select("path", "member", "header").repartition(
         spark.sparkContext.defaultParallelism * 4, "path", "member"
     )
-    return members.mapInPandas(rows, _string_schema([*names, SOURCE_FILE]))
+    return members.mapInArrow(rows, _string_schema([*names, SOURCE_FILE]))
+
+
+def member_batches(
+    body, width: int, place: Mapping[str, int], names: Sequence[str], source: str, separator: str, encoding: str, row_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """The columns `names` of a CSV stream whose header has `width` fields, batch by batch."""
+    odd: list[str] = []
+
+    def keep(row: csv_reader.InvalidRow) -> str:
+        odd.append(row.text)
+        return "skip"
+
+    reader = csv_reader.open_csv(
+        codecs.EncodedFile(body, "utf-8", encoding, errors="replace"),
+        read_options=csv_reader.ReadOptions(block_size=row_bytes, column_names=[str(i) for i in range(width)], skip_rows=1, use_threads=False),
+        parse_options=csv_reader.ParseOptions(delimiter=separator, newlines_in_values=True, invalid_row_handler=keep),
+        convert_options=csv_reader.ConvertOptions(
+            include_columns=[str(i) for i in sorted(set(place.values()))],
+            column_types={str(i): pa.string() for i in range(width)},
+            strings_can_be_null=False,
+            quoted_strings_can_be_null=False,
+        ),
+    )
+    for batch in reader:
+        size = batch.num_rows
+        empty = pa.nulls(size, pa.string())
+        columns = [batch.column(str(place[c])) if c in place else empty for c in names]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([source] * size, pa.string())], [*names, SOURCE_FILE])
+    if odd:  # lines with too few or too many fields
+        csv.field_size_limit(row_bytes)
+        fields = list(csv.reader(odd, delimiter=separator))
+        columns = [pa.array([r[place[c]] if c in place and place[c] < len(r) else None for r in fields], pa.string()) for c in names]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([source] * len(fields), pa.string())], [*names, SOURCE_FILE])

@@ -28,10 +28,10 @@ def open_path(path: str):
     return system.open_input_file(inner)
 
 
-def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Paths and sizes of the files matching the globs; the contents are not read."""
+def list_files(spark: SparkSession, paths: str | list[str], changed: bool = False) -> DataFrame:
+    """Paths and sizes of the files matching the globs, if asked with their times of change; the contents are not read."""
     listing = spark.read.format("binaryFile").load(paths)
-    return listing.select("path", "length")
+    return listing.select("path", "length", *(["modificationTime"] if changed else []))
 
 
 def first_lines(spark: SparkSession, paths: str | list[str], skip: int, encoding: str) -> dict[str, list[str]]:
@@ -63,16 +63,34 @@ def split_header(line: str, separator: str) -> list[str]:
     return next(csv.reader([line], delimiter=separator))
 
 
-def archive_members(spark: SparkSession, paths: str | list[str], suffix: str) -> DataFrame:
-    """(path, member) of every archive member with the suffix."""
+def archive_members(
+    spark: SparkSession, paths: str | list[str], suffix: str, separator: str, encoding: str
+) -> DataFrame:
+    """(path, member, size, header): members of archives with the suffix, their packed sizes and first lines.
+
+    An archive without any is one row without member. Nothing of this comes to the driver.
+    """
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path in batch["path"]:
                 with open_path(path) as raw, zipfile.ZipFile(raw) as archive:
-                    rows += [(path, m) for m in archive.namelist() if m.lower().endswith(suffix)]
-            yield pd.DataFrame(rows, columns=["path", "member"])
-
-    listing = list_files(spark, paths).select("path")
-    return listing.mapInPandas(members, "path string, member string")
+                    found = [m for m in archive.infolist() if m.filename.lower().endswith(suffix)]
+                    for member in found:
+                        with archive.open(member) as body:
+                            rows.append((path, member.filename, member.compress_size, first_record(body, separator, encoding)))
+                    if not found:
+                        rows.append((path, None, 0, []))
+            yield pd.DataFrame(rows, columns=["path", "member", "size", "header"])
+
+    listing = list_files(spark, paths).select("path").repartition(spark.sparkContext.defaultParallelism * 2)
+    return listing.mapInPandas(members, "path string, member string, size long, header array<string>")
+
+
+def first_record(body, separator: str, encoding: str) -> list[str]:
+    """The fields of the first line of a binary stream; none if it is empty."""
+    text = io.TextIOWrapper(body, encoding=encoding, errors="replace", newline="")
+    line = text.readline().lstrip("\ufeff").rstrip("\r\n")
+    text.detach()
+    return split_header(line, separator) if line else []

@@ -1,31 +1,121 @@
 """Landed API payloads: JSON arrays, one per file.
 
-An array answers one request (a municipality and year, or one data set), so a
-file is small and is parsed by one task; files are spread over tasks.
+A file is read as a stream by one task, element by element, and is never held whole; files are
+spread over tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import codecs
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from igarape.constants import FINANCE_INDICATORS, SUBFUNCTION_COLUMNS
 from igarape.schemas import FINANCE_PAYLOAD, POPULATION_FIELDS, RESOURCE_PAYLOAD
+from igarape.sources.files import list_files, open_path
 
 # Landed file names carry the request: <municipality>_<year>_<period>.json
 _REQUEST = r"(\d{6,7})_(\d{4})_(\d+)\.json$"
+_CHUNK = 1 << 20
+_ELEMENTS = 4096
+
+
+def array_elements(read, chunk: int = _CHUNK) -> Iterator[tuple[str | None, str | None]]:
+    """(element, None) of the JSON array that `read(bytes)` delivers, each as text; (None, rest) where it breaks off.
+
+    Holds one element and one chunk. A byte order mark and white space around elements are skipped.
+    """
+    decoder, text = json.JSONDecoder(), codecs.getincrementaldecoder("utf-8-sig")("replace")
+    held, at, opened, after, ended = "", 0, False, False, False
+
+    def more() -> bool:
+        nonlocal held, at, ended
+        if ended:
+            return False
+        got = read(chunk)
+        ended = not got
+        held, at = held[at:] + text.decode(got, ended), 0
+        return True
+
+    while True:
+        while at < len(held) and held[at] in " \t\r\n":
+            at += 1
+        if at == len(held):
+            if more():
+                continue
+            if opened:
+                yield None, ""
+            return
+        sign = held[at]
+        if not opened:
+            if sign != "[":
+                yield None, held[at : at + 200]
+                return
+            opened, at = True, at + 1
+        elif sign == "]":
+            return
+        elif sign == "," and after:
+            after, at = False, at + 1
+        elif after:
+            yield None, held[at : at + 200]
+            return
+        else:
+            try:
+                _, end = decoder.raw_decode(held, at)
+                # A number may go on: after its last digit, point or exponent.
+                open_ = sign in "-0123456789" and end + 2 >= len(held) and held[end : end + 1] in (".", "e", "E")
+                whole = ended or (end < len(held) and not open_)
+            except ValueError:
+                whole = False
+                if ended:
+                    yield None, held[at : at + 200]
+                    return
+            if whole:
+                yield held[at:end], None
+                at, after = end, True
+            else:
+                more()
+
+
+def read_payloads(spark: SparkSession, paths: str | list[str], schema: T.ArrayType, corrupt: str | None = None) -> DataFrame:
+    """(file, position, item fields...) for every array element.
+
+    An array that breaks off, or a file that is none, is an error naming the file; with `corrupt`,
+    it is a row whose column of that name holds what could not be read.
+    """
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open_path(path) as raw:
+                    name, position, rows = path.rsplit("/", 1)[-1], 0, []
+                    for element, rest in array_elements(raw.read):
+                        rows.append((name, position, element, rest))
+                        position += 1
+                        if len(rows) == _ELEMENTS:
+                            yield _rows(rows)
+                            rows = []
+                    yield _rows(rows)
+
+    files = list_files(spark, paths).select("path").repartition(spark.sparkContext.defaultParallelism * 4, "path")
+    found = files.mapInArrow(elements, "arquivo string, posicao int, element string, rest string")
+    item = F.from_json("element", schema.elementType)
+    if corrupt:
+        return found.select("arquivo", "posicao", item.alias("item"), F.col("rest").alias(corrupt)).select("arquivo", "posicao", "item.*", corrupt)
+    broken = F.raise_error(F.concat(F.lit("not a whole JSON array: "), F.col("arquivo"))).cast(schema.elementType)
+    return found.select("arquivo", "posicao", F.when(F.col("rest").isNotNull(), broken).otherwise(item).alias("item")).select(
+        "arquivo", "posicao", "item.*"
+    )
 
 
-def read_payloads(spark: SparkSession, paths: str | list[str], schema: T.ArrayType) -> DataFrame:
-    """(file, position, item fields...) for every array element."""
-    files = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_name").alias("arquivo"), F.from_json("value", schema).alias("itens")
-    )
-    exploded = files.select("arquivo", F.posexplode("itens").alias("posicao", "item"))
-    return exploded.select("arquivo", "posicao", "item.*")
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"arquivo": pa.string(), "posicao": pa.int32(), "element": pa.string(), "rest": pa.string()}
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds.values())], list(kinds))
 
 
 def _request_part(group: int) -> Column:

@@ -76,6 +76,62 @@ def test_linear_and_lasso(rows, table):
     assert shrunk == pytest.approx(plain - 0.5, abs=1e-4)
 
 
+def test_sums_of_folds_give_the_fits_of_their_rows(spark, rows, table):
+    """Every training set of a cross-validation, from the sums, against a fit on its rows."""
+    from igarape.models.evaluation import moment_fits
+    from igarape.models.moments import Lasso, Least, scale_figures
+
+    names, folds = ["a", "b", "noise"], table.withColumn("fold", (F.substring("cod_mun", 2, 1).cast("int") % 4))
+    seen = folds.agg(*[c.alias(n) for n, c in scale_figures(names, "y").items()]).first().asDict()
+    models = {"l": Least(), "p": Lasso(0.3)}
+    fits = moment_fits(folds, names, models, seen, [0, 1, 2, 3], "y")
+    for (name, fold), fitted in fits.items():
+        other = fit_pipeline(folds.filter(F.col("fold") != fold), names, models[name], "y")
+        assert list(fitted.model.coefficients) == pytest.approx(list(other.model.coefficients), abs=1e-9)
+        assert fitted.model.intercept == pytest.approx(other.model.intercept)
+        assert fitted.preprocessing.deviations == pytest.approx(other.preprocessing.deviations)
+        assert fitted.preprocessing.means == pytest.approx(other.preprocessing.means)
+        train = rows[rows.cod_mun.str[1:].astype(int) % 4 != fold]
+        x = train[names].fillna(train[names].median())
+        z = ((x - x.mean()) / x.std(ddof=0)).to_numpy()
+        if name == "l":
+            design = np.column_stack([np.ones(len(z)), z])
+            expected = np.linalg.lstsq(design, train.y, rcond=None)[0][1:]
+            assert list(fitted.model.coefficients) == pytest.approx(list(expected))
+        else:
+            rest = (train.y - fitted.model.intercept).to_numpy() - z @ fitted.model.coefficients
+            pull = z.T @ rest / len(z)
+            for b, g in zip(fitted.model.coefficients, pull):
+                assert abs(g) <= 0.3 + 1e-8 and (b == 0 or g == pytest.approx(0.3 * np.sign(b)))
+
+
+def test_repeated_and_constant_features(spark):
+    rows = spark.range(40).selectExpr("id * 1.0D AS a", "100 - id AS c", "5.0D AS k", "CAST(NULL AS DOUBLE) AS none", "id * 2.0D + 1e6 AS y")
+    fitted = fit_pipeline(rows, ["a", "c", "k", "none"], linear(), "y")
+    coefficients = list(fitted.model.coefficients)
+    assert coefficients[0] == pytest.approx(-coefficients[1]) and coefficients[2:] == [0.0, 0.0]
+    found = fitted.predict(rows, "p").selectExpr("max(abs(p - y)) AS gap").first().gap
+    assert found < 1e-6
+    assert fitted.preprocessing.medians["none"] == 0.0 and fitted.preprocessing.deviations["k"] == 1.0
+    with pytest.raises(ValueError):
+        fit_pipeline(rows.limit(0), ["a"], linear(), "y")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000, 4097])
+def test_exchange_is_a_bijection_for_each_key(spark, n):
+    from igarape.models.exchange import exchanged, round_key
+
+    places = spark.range(n).select("id", F.explode(F.array(*map(F.lit, range(1, 6)))).alias("r"))
+    found = places.select("r", "id", exchanged(F.col("id"), n, round_key(42, F.col("r"))).alias("to")).toPandas()
+    for _, part in found.groupby("r"):
+        assert sorted(part.to) == list(range(n))
+    if n >= 97:
+        orders = {tuple(part.sort_values("id").to) for _, part in found.groupby("r")}
+        assert len(orders) == 5
+        assert (found.id == found.to).mean() < 0.1
+        assert abs(np.corrcoef(found.id, found.to)[0, 1]) < 0.2
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("k", 1.0, 2.0), ("k", 2.0, 2.0), ("k", 4.0, 3.0), ("c", 5.0, 6.0)], "g string, y double, p double")
     found = {r.g: r for r in regression_metrics(df, "y", "p", ["g"]).collect()}

@@ -5,6 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from igarape.operators.hot_join import hot_keys, join_unsummed
 from igarape.queries import QUERIES, SQL
 from igarape.queries.registry import TABLES, table
 from tests.oracle import connect, differences
@@ -52,3 +53,35 @@ def duck(skewed):
 @pytest.mark.parametrize("name", NAMES)
 def test_same_as_sql_under_skew(spark, skewed, duck, name):
     assert differences(QUERIES[name](spark, skewed).toPandas(), duck.sql(SQL[name]).df()) is None
+
+
+@pytest.mark.parametrize("name", ["semi_join_dim", "percentile_mean", "admissions_plan"])
+def test_same_as_sql_without_adaptive_execution(spark, skewed, duck, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert differences(QUERIES[name](spark, skewed).toPandas(), duck.sql(SQL[name]).df()) is None
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_a_hot_key_is_dealt_over_tasks(spark, how):
+    rows = spark.range(0, 60000, 1, 12).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 101 = 5 THEN NULL ELSE id % 5000 END AS k")
+    names = spark.range(0, 6000, 2).selectExpr("id + 1 AS k", "concat('n', id) AS name")
+    assert hot_keys(rows, "k") == [7] and hot_keys(rows.limit(0), "k") == []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = join_unsummed(rows, names, "k", how)
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(tasks) < 0.2 * sum(tasks) and len(tasks) >= 12
+        expected = rows.join(names, "k", how)
+        assert found.columns == expected.columns
+        assert not found.exceptAll(expected).count() and not expected.exceptAll(found).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        join_unsummed(rows, names, "k", "outer")
