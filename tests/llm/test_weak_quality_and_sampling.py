@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 
 import numpy as np
 import pytest
@@ -138,3 +139,43 @@ def test_samples_depend_on_the_key_only(spark):
     assert one == many
     assert sample(table.limit(0)).count() == 0
     assert len({r["ids_crc32"] for r in one if r["key"] in (9, 20, 31)}) > 1
+
+
+def edges_of(vocabulary, word):
+    number = vocabulary.numbers([word])[0]
+    root, size = vocabulary.roots[number], vocabulary.sizes[number]
+    begin = vocabulary.first[root]
+    end = vocabulary.first[root + size] if root + size < len(vocabulary.first) else len(vocabulary.to)
+    nodes = [x - begin for x in vocabulary.first[root : root + size]]
+    to = [x - root if x >= 0 else -1 for x in vocabulary.to[begin:end]]
+    return nodes, to, list(vocabulary.code[begin:end]), list(vocabulary.below[begin:end]), list(vocabulary.log_q[begin:end])
+
+
+def test_lattices_do_not_depend_on_other_words():
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdeétionsz", k=rng.randrange(1, 20))) for _ in range(400)] + ["", "日本", "x" * 64, "y" * 65]
+    together = Vocabulary()
+    together.numbers(words)
+    alone = Vocabulary()
+    for word in words[::-1]:
+        assert edges_of(alone, word) == edges_of(together, word), word
+
+
+def test_forgetting_keeps_the_samples(vocabulary):
+    rng = random.Random(3)
+    small = Vocabulary(edges=3000)
+    common = ["the", "of", "cat", "house", "running"]
+    for i in range(12):
+        rows = [" ".join(rng.choices(common, k=30) + ["".join(rng.choices("abcdefgh", k=8)) for _ in range(20)]) for _ in range(3)]
+        few, many = Sampler(small)(rows, [i, 1, 2], 2), Sampler(vocabulary)(rows, [i, 1, 2], 2)
+        assert [[(x[0].tolist(), *x[1:]) for x in r] for r in few] == [[(x[0].tolist(), *x[1:]) for x in r] for r in many]
+    assert len(small.to) < 30000 and len(vocabulary.known) > len(small.known)
+
+
+def test_a_very_long_text(vocabulary):
+    rng = random.Random(4)
+    text = " ".join(rng.choices(["alpha", "beta", "naïveté", "of", "x" * 70, "日本語"], k=1_400_000))
+    assert len(text) > 10_000_000
+    (found,) = Sampler(vocabulary)([text], [1], 2)
+    assert len(found) == 2 and all(vocabulary.decode(x[0]) == text for x in found)
+    assert found[0][0].tolist() != found[1][0].tolist()
