@@ -400,6 +400,34 @@ def permutation_single(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(permutation_importance(fitted, test, ["cod_mun", "ano"]))
 
 
+@query(
+    "refit_predict_single",
+    f"""WITH {ANALYSIS_SQL},
+    line AS (SELECT regr_slope({TARGET}, {_ONE}) AS s, regr_intercept({TARGET}, {_ONE}) AS i FROM ana WHERE {TARGET} IS NOT NULL)
+    SELECT cod_mun, ano, round({TARGET}, 6) AS {TARGET}, round(s * {_ONE} + i, 4) AS taxa_prevista FROM ana, line WHERE {TARGET} IS NOT NULL""",
+)
+def refit_predict_single(spark: SparkSession, folder: str) -> DataFrame:
+    """The model with one feature, learnt from all rows and applied to them."""
+    rows = _table(spark, folder)
+    found = fit_pipeline(rows, [_ONE], linear()).predict(rows, "taxa_prevista")
+    return found.select("cod_mun", "ano", F.round(TARGET, 6).alias(TARGET), F.round("taxa_prevista", 4).alias("taxa_prevista"))
+
+
+@query(
+    "importance_single",
+    f"""WITH {ANALYSIS_SQL} """
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(abs(regr_slope({TARGET}, {c}) * stddev_pop({c})), 6) AS valor FROM ana WHERE {TARGET} IS NOT NULL"
+        for c in _SINGLE
+    ),
+)
+def importance_single(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of the standardised coefficient of each feature on its own."""
+    rows = _table(spark, folder)
+    tables = [importance_table(spark, fit_pipeline(rows, [c], linear())) for c in _SINGLE]
+    return rounded(tables[0].union(tables[1]).union(tables[2]))
+
+
 _EXPORTED = "2024-05-06T07:08:09+00:00"
 
 

@@ -163,3 +163,19 @@ def parse_measures(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(price)
     )
     return rounded(table(spark, folder, "orders").select("o_orderkey", decimal_comma_number(text).alias("medida")))
+
+
+@query(
+    "member_share",
+    f"""WITH {facts.DIM_SQL}
+    SELECT count(*) AS registros, count(*) FILTER (WHERE n_regionkey < 3) AS registros_membros,
+      round(avg(CASE WHEN n_regionkey < 3 THEN 100.0 ELSE 0 END), 6) AS pct_membros
+    FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+)
+def member_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of member municipalities and their share; codes have six digits or seven."""
+    codes = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey", facts.nation_code().alias("code"))
+    customers = table(spark, folder, "customer").join(codes, "c_nationkey")
+    raw = customers.select(F.when(F.col("c_custkey") % 2 == 0, F.left("code", F.lit(6))).otherwise(F.col("code")).alias("MUNIC_RES"))
+    members = codes.filter("n_regionkey < 3").select(F.col("code").alias("cod_mun"))
+    return rounded(admissions.member_share(raw, members))

@@ -79,20 +79,30 @@ def read_by_header(
     does not know its line numbers. `multi_line` keeps quoted line breaks within
     a field, as the archive reader does, at the price of one task per file.
     """
-    # Headers that put the wanted columns at the same places share a scan.
-    layouts = defaultdict(list)
-    lacking = []
-    for line, files in first_lines(spark, paths, skip_lines, encoding).items():
+    # Headers that put the wanted columns at the same places share a scan. Only different headers come
+    # to the driver, and paths only where there are several layouts, for Spark's own scans to list.
+    listed = first_lines(spark, paths, skip_lines, encoding)
+    layouts, lacking = defaultdict(list), {}
+    headers = sorted(r.header for r in listed.select("header").distinct().collect())
+    for line in filter(None, headers):
         header = split_header(line, separator)
         found = positions(header, wanted, normalise)
         missing = [c for c in required if c not in found]
         if missing:
-            lacking += [f"{path} ({', '.join(missing)})" for path in files]
-        layouts[len(header), tuple(found.items())] += files
+            lacking[line] = ", ".join(missing)
+        layouts[len(header), tuple(found.items())].append(line)
     if lacking:
-        raise _lacking(len(lacking), lacking[:_NAMED])
+        files = listed.filter(F.col("header").isin(list(lacking)))
+        named = files.orderBy("path").limit(_NAMED).collect()
+        raise _lacking(files.count(), [f"{r.path} ({lacking[r.header]})" for r in named])
+
+    def files_of(lines: Sequence[str]) -> str | list[str]:
+        if len(layouts) == 1 and "" not in headers:
+            return paths
+        return sorted(r.path for r in listed.filter(F.col("header").isin(list(lines))).select("path").collect())
+
     parts = []
-    for (width, found), files in layouts.items():
+    for (width, found), lines in layouts.items():
         place = dict(found)
         rows = (
             spark.read.schema(_string_schema([f"c{i}" for i in range(width)]))
@@ -103,7 +113,7 @@ def read_by_header(
             .option("multiLine", multi_line)
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
-            .csv(files)
+            .csv(files_of(lines))
         )
         if is_data is not None:
             column, test = is_data

@@ -1,21 +1,18 @@
-"""File listing and header reading.
-
-Only paths and first lines pass through the driver; both are bounded by the
-number of files, which Spark's own scan planning holds there anyway.
-"""
+"""File listing and header reading; what is found of each file stays in a table."""
 
 from __future__ import annotations
 
 import csv
 import io
 import zipfile
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from igarape.session import cut_lineage
+
 
 def open_path(path: str):
     """Open a file of any file system pyarrow knows (local, HDFS, object stores)."""
@@ -34,8 +31,8 @@ def list_files(spark: SparkSession, paths: str | list[str], changed: bool = Fals
     return listing.select("path", "length", *(["modificationTime"] if changed else []))
 
 
-def first_lines(spark: SparkSession, paths: str | list[str], skip: int, encoding: str) -> dict[str, list[str]]:
-    """Header line -> files that start with it, after skipping `skip` lines; files without one are left out."""
+def first_lines(spark: SparkSession, paths: str | list[str], skip: int, encoding: str) -> DataFrame:
+    """(path, header), written: the line after `skip` lines of each file that is not empty; '' where there is none."""
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -51,12 +48,8 @@ def first_lines(spark: SparkSession, paths: str | list[str], skip: int, encoding
     listing = listing.filter(listing.length > 0).select("path")
     # Reading a first line is short but waits on storage: spread it widely.
     spread = listing.repartition(spark.sparkContext.defaultParallelism * 2)
-    found = spread.mapInPandas(headers, "path string, header string").collect()
-    layouts = defaultdict(list)
-    for row in found:
-        if row.header:
-            layouts[row.header].append(row.path)
-    return {header: sorted(layouts[header]) for header in sorted(layouts)}
+    found = spread.mapInPandas(headers, "path string, header string")
+    return cut_lineage(found, "headers")
 
 
 def split_header(line: str, separator: str) -> list[str]:

@@ -180,3 +180,17 @@ def test_states_know_files_by_name(spark, tmp_path):
         (tmp_path / folder / "same.csv").write_text("x")
     with pytest.raises(ValueError, match="same.csv"):
         states.update(f"{tmp_path}/[pq]/*.csv", lambda paths: rows, "f")
+
+
+def test_files_without_a_header_line_are_left_out(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("")
+    wanted = {"x": ["x"], "y": ["y"]}
+    assert [tuple(r) for r in read_by_header(spark, f"{tmp_path}/*.csv", wanted).collect()] == [("1", "2", "a.csv")]
+    (tmp_path / "c.csv").write_text("\nx,y\n3,4\n")
+    assert [tuple(r) for r in read_by_header(spark, f"{tmp_path}/*.csv", wanted).collect()] == [("1", "2", "a.csv")]
+    for i in range(30):
+        (tmp_path / f"n{i:02d}.csv").write_text("x,z\n1,2\n")
+    with pytest.raises(ValueError, match="columns missing in 30 files") as error:
+        read_by_header(spark, f"{tmp_path}/*.csv", wanted, required=["x", "y"])
+    assert str(error.value).count(" (y)") == 20
