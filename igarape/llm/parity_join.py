@@ -11,11 +11,13 @@ band below where a set near enough may lie there; a key is a hash of band, block
 Blocks without bits give no key, unless a set has B - d or more of them: B is chosen so that this
 is rare, and then both sets of a pair that agrees in such blocks alone have all their keys.
 
-Sets that meet at a key are candidates. First each is compared with one other, the smallest set of
-most of its keys, and the links found are contracted; that turns a group of near copies into one
-class. Then, at keys where several classes meet, sets of different classes whose sketches, folded to
-eight bits a block, differ in as few bits as the sizes allow are compared too. Comparison is exact, on the
-shingles of both texts. Every linked pair meets at a key, so no link is lost.
+Sets that meet at a key are candidates if a second, shorter sketch differs in as few bits as the
+sizes allow. In a first round each set of a key is compared with its nearest partners' smallest, at
+keys of many sets with the smallest of its part, and the links found are contracted; that turns a
+group of near copies into one class. In a second round sets of different classes are compared,
+by a finer sketch first.
+Comparison is exact, on the shingles of both texts. Every linked pair meets at a key and is compared
+in the second round unless it is in one class already, so no link is lost.
 
 Equal sets are one node, named by a 64-bit hash. The texts of the candidates are read again; a
 bitmap of bounded size tells which rows. A set met by many others is copied to as many tasks as they
@@ -43,8 +45,13 @@ from igarape.llm.common import map_arrow, texts
 from igarape.llm.simhash import components
 from igarape.session import cut_lineage
 
+# Growth of the bands' edges; about the least keys in all.
 _WIDEN = 1.55
 _BLOCK = 1024
+# Sets at a key up to which the first round compares all with all.
+_FEW = 512
+# Tasks that a key with more sets than one task should have is dealt over in the first round.
+_PARTS = 256
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -127,26 +134,29 @@ def sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
     return found
 
 
-def folded(parities: np.ndarray) -> bytes:
-    """The sketch with eight bits a block; its Hamming distances are no larger."""
-    for shift in (32, 16, 8):
-        parities = parities ^ (parities >> np.uint64(shift))
-    return parities.astype("u1").tobytes()
+def signature(shingles: np.ndarray, most: int, fine: bool = False) -> bytes:
+    """A shorter sketch for one comparison: sets that share little differ in half of its bits, clearly more than `most`.
+
+    A `fine` one has eight bits for each of `most`, and tells apart sets that are nearly linked too.
+    """
+    size = 8 * most + 64 if fine else (8 + 2 * most + math.ceil(2.5 * math.sqrt(2 * most))) // 8 * 8 + 8
+    places = (shingles >> np.uint64(8) & np.uint64(0xFFFFFF)) % np.uint64(size)
+    return np.packbits(np.bincount(places.astype("int64"), minlength=size) & 1).tobytes()
 
 
 def keys_of(parities: np.ndarray, band: int, most: int) -> np.ndarray:
     number = np.arange(len(parities), dtype="u8") + np.uint64(band << 40)
     keys = _mixed(parities + _mixed(number + np.uint64(1)))
     filled = parities != 0
-    return (keys[filled] if len(parities) - int(filled.sum()) < len(parities) - most else keys).view("i8")
+    return (keys[filled] if int(filled.sum()) > most else keys).view("i8")
 
 
-_SETS = "doc_id long, mark long, node long, n_shingles long, sketches array<struct<band: int, folded: binary, keys: array<long>>>"
+_SETS = "doc_id long, mark long, node long, n_shingles long, sketches array<struct<sign: binary, keys: array<long>, fine: binary>>"
 
 
 def sketched(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den: int) -> DataFrame:
     """(doc_id, mark, node, n_shingles, sketches) of each row; `mark` is a hash of the text."""
-    kind = pa.list_(pa.struct([("band", pa.int32()), ("folded", pa.binary()), ("keys", pa.list_(pa.int64()))]))
+    kind = pa.list_(pa.struct([("sign", pa.binary()), ("keys", pa.list_(pa.int64())), ("fine", pa.binary())]))
 
     def start():
         shingled, bands = Shingles(width), Bands(num, den)
@@ -164,8 +174,8 @@ def sketched(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
                     for band in bands.of(len(shingles)):
                         most, blocks = bands.shape(band)
                         if blocks:
-                            parities = sketch(shingles, blocks)
-                            rows.append({"band": band, "folded": folded(parities), "keys": keys_of(parities, band, most)})
+                            keys = keys_of(sketch(shingles, blocks), band, most)
+                            rows.append({"sign": signature(shingles, most), "keys": keys, "fine": signature(shingles, most, True)})
                 found.append(rows)
             columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, kind)]
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "node", "n_shingles", "sketches"])
@@ -204,28 +214,120 @@ class Bitmap:
         return (self._parts[place >> 3] >> (place & 7).astype("u1")) & 1 > 0
 
 
-def _met(rows: DataFrame, known: Bitmap) -> DataFrame:
-    """(key, node, folded, n) of the keys that the bitmap holds."""
+def _met(rows: DataFrame, known: Bitmap, hot: Bitmap | None = None, active: Bitmap | None = None) -> DataFrame:
+    """(key, node, place) of the keys, and if given of the nodes, that the bitmaps hold; `place` numbers a node's sketches.
+
+    With `hot` also n, sign and `sub`: -1, or the part in which a key of many sets, held by `hot`, has the node.
+    """
+    names = ["key", "node", "place"] + (["n", "sign", "sub"] if hot else [])
 
     def start():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            if active is not None:
+                batch = batch.filter(pa.array(active.holds(batch.column(0).to_numpy())))
             found = batch.column(2)
-            place = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            counts = np.diff(found.offsets.to_numpy())
             inner = found.flatten()
-            keys = inner.field(2)
-            place = np.repeat(place, np.diff(keys.offsets.to_numpy()))
-            own = np.repeat(np.arange(len(inner)), np.diff(keys.offsets.to_numpy()))
-            values = keys.flatten().to_numpy(zero_copy_only=False)
-            at = np.flatnonzero(known.holds(values))
-            place, own = pa.array(place[at]), pa.array(own[at])
-            columns = [pa.array(values[at]), batch.column(0).take(place), inner.field(1).take(own), batch.column(1).take(place)]
-            return pa.RecordBatch.from_arrays(columns, ["key", "node", "folded", "n"])
+            keys = inner.field(1)
+            keys = keys.slice(inner.offset, len(inner)) if len(keys) != len(inner) else keys
+            at = keys.offsets.to_numpy()
+            values = keys.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]]
+            own = np.repeat(np.arange(len(inner)), np.diff(at))
+            held = np.flatnonzero(known.holds(values))
+            values, own = values[held], own[held]
+            places = np.arange(len(inner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            row = pa.array(np.repeat(np.arange(batch.num_rows), counts)[own])
+            nodes = batch.column(0).take(row)
+            columns = [pa.array(values), nodes, pa.array(places[own].astype("i4"))]
+            if hot:
+                parts = _mixed(nodes.to_numpy().view("u8")) % np.uint64(_PARTS)
+                sub = np.where(hot.holds(values), parts.astype("i4"), -1)
+                columns += [batch.column(1).take(row), inner.field(0).take(pa.array(own)), pa.array(sub.astype("i4"))]
+            return pa.RecordBatch.from_arrays(columns, names)
 
         return one
 
-    return map_arrow(
-        rows.filter("size(sketches) > 0").select("node", "n_shingles", "sketches"), "key long, node long, folded binary, n long", start
-    )
+    coarse = F.transform("sketches", lambda x: F.struct(x.sign.alias("sign"), x["keys"].alias("keys"))).alias("sketches")
+    filled = rows.filter("size(sketches) > 0").select("node", "n_shingles", coarse)
+    return map_arrow(filled, "key long, node long, place int" + (", n long, sign binary, sub int" if hot else ""), start)
+
+
+def _close(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs (i, j) of rows may be linked, by sizes and sketches; sketch i lies at data[at[i]:at[i + 1]]."""
+    a, b = sizes[i], sizes[j]
+    # den * common >= num * all, as a limit: (num + den) * difference <= (den - num) * (both sizes)
+    width = at[i + 1] - at[i]
+    fits = (den * np.minimum(a, b) >= num * np.maximum(a, b)) & (width == at[j + 1] - at[j]) & (width > 0)
+    some = np.flatnonzero(fits)
+    for k in range(0, len(some), 1 << 17):
+        part = some[k : k + (1 << 17)]
+        size = width[part]
+        ends = np.cumsum(size)
+        step = np.arange(ends[-1]) - np.repeat(ends - size, size)
+        bits = np.bitwise_count(data[np.repeat(at[i[part]], size) + step] ^ data[np.repeat(at[j[part]], size) + step])
+        apart = np.add.reduceat(bits, ends - size, dtype="int64")
+        fits[part] = (num + den) * apart <= (den - num) * (a[part] + b[part])
+    return fits
+
+
+def _first_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) to compare first, and (a, a) for further nodes that may be linked with some.
+
+    At keys of few sets a set comes with the smallest that it may be linked with, at others with the
+    smallest set of its part, if it may be linked with that.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            keys = np.stack([held.column(i).to_numpy() for i in (0, 1)], axis=1)
+            change = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1))
+            if not len(change):
+                continue
+            last = int(change[-1]) + 1
+            yield pairs(held.slice(0, last), keys[:last])
+            held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield pairs(held, np.stack([held.column(i).to_numpy() for i in (0, 1)], axis=1))
+
+    def pairs(rows: pa.Table, keys: np.ndarray) -> pa.RecordBatch:
+        nodes, sizes = rows.column(2).to_numpy(), rows.column(3).to_numpy()
+        signs = rows.column(4).combine_chunks().cast(pa.large_binary())
+        at = np.frombuffer(signs.buffers()[1], "i8")[signs.offset : signs.offset + len(signs) + 1]
+        data = np.frombuffer(signs.buffers()[2], "u1")
+        begins = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        counts = np.diff(np.append(begins, len(nodes)))
+        left, right = [], []
+        group, size = np.repeat(np.arange(len(begins)), counts), np.repeat(counts, counts)
+        hot = keys[:, 1] >= 0
+        small = np.flatnonzero((size > 1) & (size <= _FEW) & ~hot)
+        step = 1
+        while True:  # rows of a key are neighbours, in order of their nodes
+            other = small[:-step] if step else small
+            i = other[group[other] == group[small[step:]]] if step < len(small) else other[:0]
+            if not len(i):
+                break
+            i = i[nodes[i] != nodes[i + step]]
+            near = i[_close(data, at, sizes, i, i + step, num, den)]
+            left.append(near + step)
+            right.append(near)
+            step += 1
+        large = np.flatnonzero((size > _FEW) | hot)
+        first = begins[group[large]]
+        near = _close(data, at, sizes, large, first, num, den)
+        a, b = nodes[np.concatenate([*left, large[near]])], nodes[np.concatenate([*right, first[near]])]
+        a, b = a[a != b], b[a != b]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        smallest = np.append(True, a[1:] != a[:-1]) if len(a) else np.zeros(0, bool)
+        active = np.unique(np.concatenate((a, b, nodes[large])))
+        both = [np.concatenate((a[smallest], active)), np.concatenate((b[smallest], active))]
+        return pa.RecordBatch.from_arrays(list(map(pa.array, both)), ["a", "b"])
+
+    dealt = met.select("key", "sub", "node", "n", "sign").repartition("key", "sub")
+    return dealt.sortWithinPartitions("key", "sub", "node").mapInArrow(run, "a long, b long")
 
 
 def _verified(
@@ -294,7 +396,7 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def _near(rows: DataFrame, num: int, den: int, split_rows: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes at a key, whose folded sketches differ by no more bits than linked sets."""
+    """Pairs (a, b) of nodes of different classes at a key that may be linked."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("n_rows"))
     chunks = F.expr(f"n_rows div {split_rows} + 1")
     chunk = F.pmod(F.xxhash64("node"), chunks)
@@ -302,15 +404,14 @@ def _near(rows: DataFrame, num: int, den: int, split_rows: int) -> DataFrame:
     every = F.transform(
         F.sequence(F.lit(0).cast("long"), chunks - 1), lambda i: F.least(i, chunk) * chunks + F.greatest(i, chunk)
     )
-    dealt = rows.join(sizes, "key").select("key", F.explode(every).alias("sub"), "node", "label", "folded", "n")
+    dealt = rows.join(sizes, "key").select("key", F.explode(every).alias("sub"), "node", "label", "sign", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         done: set[tuple[int, int]] = set()
 
         def pairs() -> pa.RecordBatch:
-            found = _group_pairs(held, num, den)
-            fresh = [p for p in found if p not in done]
+            fresh = [p for p in _group_pairs(held, num, den) if p not in done]
             if len(done) > 1 << 20:
                 done.clear()
             done.update(fresh)
@@ -326,33 +427,28 @@ def _near(rows: DataFrame, num: int, den: int, split_rows: int) -> DataFrame:
             yield pairs()
 
     ordered = dealt.repartition("key", "sub").sortWithinPartitions("key", "sub")
-    return ordered.select("key", "sub", "node", "label", "folded", "n").mapInArrow(run, "a long, b long")
+    return ordered.select("key", "sub", "node", "label", "sign", "n").mapInArrow(run, "a long, b long")
 
 
 def _group_pairs(rows: list[tuple], num: int, den: int) -> list[tuple[int, int]]:
-    _, _, nodes, labels, found, sizes = (np.array(x) if i in (2, 3, 5) else x for i, x in enumerate(zip(*rows)))
+    nodes, labels, sizes = (np.array([r[i] for r in rows]) for i in (2, 3, 5))
     if len(nodes) < 2 or (labels == labels[0]).all():
         return []
-    width = -(-max(map(len, found)) // 8) * 8
-    bits = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in found), "u8").reshape(len(nodes), -1)
-    # den * common >= num * all, as a limit: (num + den) * difference <= (den - num) * (both sizes)
-    pairs = []
+    signs = [r[4] for r in rows]
+    at = np.append(0, np.cumsum(np.fromiter(map(len, signs), "int64", len(signs))))
+    data = np.frombuffer(b"".join(signs), "u1")
+    found = []
     for i in range(0, len(nodes), _BLOCK):
         for j in range(i, len(nodes), _BLOCK):
-            x, y = slice(i, i + _BLOCK), slice(j, j + _BLOCK)
-            limit = (den - num) * (sizes[x, None] + sizes[None, y]) // (num + den)
-            apart = labels[x, None] != labels[None, y]
-            small, large = np.minimum(sizes[x, None], sizes[None, y]), np.maximum(sizes[x, None], sizes[None, y])
-            apart &= den * small >= num * large
+            apart = labels[i : i + _BLOCK, None] != labels[None, j : j + _BLOCK]
             if i == j:
-                apart &= np.arange(apart.shape[0])[:, None] < np.arange(apart.shape[1])[None, :]
-            a, b = np.nonzero(apart)
-            for k in range(0, len(a), 1 << 16):
-                u, v = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
-                near = np.bitwise_count(bits[i + u] ^ bits[j + v]).sum(axis=1, dtype="int64") <= limit[u, v]
-                pairs.append(np.stack((nodes[i + u[near]], nodes[j + v[near]])))
-    found = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), "int64")
-    return list(zip(found.max(axis=0).tolist(), found.min(axis=0).tolist())) if found.shape[1] else []
+                apart = np.triu(apart, 1)
+            x, y = np.nonzero(apart)
+            x, y = x + i, y + j
+            near = _close(data, at, sizes, x, y, num, den)
+            found.append(np.stack((nodes[x[near]], nodes[y[near]])))
+    pairs = np.concatenate(found, axis=1)
+    return list(zip(pairs.max(axis=0).tolist(), pairs.min(axis=0).tolist())) if pairs.shape[1] else []
 
 
 def _labels(edges: DataFrame) -> DataFrame:
@@ -378,23 +474,27 @@ def near_sets(
     if not 0 < num <= den:
         raise ValueError("the threshold num / den must be above 0 and at most 1")
     rows = cut_lineage(sketched(docs, doc_id, text, width, num, den), "sketches")
-    keyed = rows.select("node", F.explode(F.flatten("sketches.keys")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("top")).filter("rep < top").drop("top")
-    shared = cut_lineage(shared, "shared-keys")
-    met = _met(rows, Bitmap(shared.select("key"), bits)).join(shared, "key")
-    met = cut_lineage(met.dropDuplicates(["key", "node"]), "met")
+    # Counted by 48 bits of the key: more keys may seem shared, none fewer.
+    keys = rows.select(F.explode(F.flatten("sketches.keys")).alias("key"))
+    keys = keys.select(F.col("key").bitwiseAND(F.lit((1 << 48) - 1)).alias("key"))
+    shared = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("n_rows")).filter("n_rows > 1"), "shared-keys")
+    known, hot = Bitmap(shared.select("key"), bits), Bitmap(shared.filter(F.col("n_rows") > split_rows).select("key"), bits)
+    first = cut_lineage(_first_pairs(_met(rows, known, hot), num, den).distinct(), "first-pairs")
     witnesses = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("mark").alias("mark"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         return cut_lineage(_verified(pairs, docs, witnesses, text, width, num, den, bits, members).distinct(), "linked")
 
-    votes = met.filter("node <> rep").groupBy("node", "rep").agg(F.count("*").alias("votes"))
-    first = votes.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("votes", (-F.col("rep")).alias("order"), "rep")).alias("best"))
-    edges = verified(first.select("a", F.col("best.rep").alias("b")))
-    labelled = met.join(_labels(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = cut_lineage(labelled.select("key", "node", "label", "folded", "n"), "labelled")
+    chosen = first.filter("a <> b").groupBy("a").agg(F.min("b").alias("b"))
+    edges = verified(chosen)
+    met = _met(rows, known, active=Bitmap(first.select("a").distinct(), bits)).distinct()
+    labelled = cut_lineage(met.join(_labels(edges), "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    near = _near(labelled.join(mixed.select("key"), "key", "left_semi"), num, den, split_rows)
+    several = cut_lineage(labelled.join(mixed.select("key"), "key", "left_semi"), "several-classes")
+    signs = rows.select("node", F.col("n_shingles").alias("n"), F.posexplode("sketches").alias("place", "sketch"))
+    signs = signs.select("node", "place", "n", F.col("sketch.fine").alias("sign"))
+    signs = signs.join(several.select("node", "place").distinct(), ["node", "place"], "left_semi").dropDuplicates(["node", "place"])
+    near = _near(several.join(signs, ["node", "place"]), num, den, split_rows)
     edges = edges.unionByName(verified(cut_lineage(near.distinct(), "near")))
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(_labels(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))

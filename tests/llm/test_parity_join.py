@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from igarape.llm import parity_join
-from igarape.llm.parity_join import Bands, Bitmap, Shingles, folded, keys_of, near_sets, sketch
+from igarape.llm.parity_join import Bands, Bitmap, Shingles, keys_of, near_sets, signature, sketch
 from igarape.llm.queries import QUERIES
 
 
@@ -86,10 +86,12 @@ def documents(seed=3):
 
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(parity_join, "_BLOCK", 7)
+    monkeypatch.setattr(parity_join, "_FEW", 3)
     rows = documents()
     table = spark.createDataFrame([(k, t, 1, 2) for k, t in rows], "doc_id long, text string, node int, key int").repartition(7)
     expected = ordered(brute(rows))
     assert ordered(near_sets(table, members=3, split_rows=4, bits=16).collect()) == expected
+    monkeypatch.undo()
     assert ordered(near_sets(table, bits=20).collect()) == expected
     assert len({x[2] for x in expected}) < len({x[0] for x in expected}) - 50
 
@@ -124,14 +126,15 @@ def test_linked_sets_share_a_key():
                         keys[-1] |= set(keys_of(sketch(x, blocks), band, most).tolist())
             assert keys[0] & keys[1], (size, gone, new)
             for band in set(bands.of(len(whole))) & set(bands.of(len(other))):
-                blocks = bands.shape(band)[1]
+                most, blocks = bands.shape(band)
                 if not blocks:
                     continue
                 a, b = sketch(whole, blocks), sketch(other, blocks)
                 apart = len(whole) + len(other) - 2 * common
                 full = int(np.bitwise_count(a ^ b).sum())
-                small = sum(bin(x ^ y).count("1") for x, y in zip(folded(a), folded(b)))
-                assert small <= full <= apart and (full - apart) % 2 == 0
+                short = sum(bin(x ^ y).count("1") for x, y in zip(signature(whole, most), signature(other, most), strict=True))
+                fine = sum(bin(x ^ y).count("1") for x, y in zip(signature(whole, most, True), signature(other, most, True), strict=True))
+                assert fine <= apart and short <= apart and full <= apart and (full - apart) % 2 == 0 == (short - apart) % 2
     assert pairs > 300
 
 
