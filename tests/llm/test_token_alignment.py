@@ -36,9 +36,10 @@ def plain():
         if not b"".join(x) == b"".join(y) == f" {text}".encode():
             return [], [], [], Counter()
         ends = [np.cumsum(list(map(len, z))).tolist() for z in (x, y)]
+        places = [{e: i + 1 for i, e in enumerate(z)} for z in ends]
         groups, links, begin = [], Counter(), (0, 0)
         for end in sorted(set(ends[0]) & set(ends[1])):
-            stop = ends[0].index(end) + 1, ends[1].index(end) + 1
+            stop = places[0][end], places[1][end]
             own = a[begin[0] : stop[0]], b[begin[1] : stop[1]]
             groups.append("|".join(",".join(map(str, z)) for z in own))
             links.update((i, j) for i in own[0] for j in own[1])
