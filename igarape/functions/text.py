@@ -44,7 +44,22 @@ _FOLD_FROM, _FOLD_TO, _FOLD_SEVERAL = _folding_tables()
 _COMBINING = "".join(chr(p) for p in range(0x0300, sys.maxunicode + 1) if unicodedata.combining(chr(p)))
 _NON_ASCII = r"[^\x00-\x7F]"
 _BEYOND_COMMON = r"[^\x00-\x7F\u00C0-\u0131]"
-_SEVERAL = "[" + "".join(sorted(_FOLD_SEVERAL)) + "]"
+
+
+def _class_of(chars) -> str:
+    """A regex class of characters beyond ASCII, as ranges; ASCII is ruled out before they are gone through."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point == ranges[-1][1] + 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return r"[\x{80}-\x{10FFFF}&&[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]]"
+
+
+_SEVERAL = _class_of(_FOLD_SEVERAL)
+# All but ASCII letters, digits, underscores and blanks. Written out, as the negated class takes five times as long.
+_NOT_COMPACT = r"[\x00-\x1F!-/:-@\[-^`{-\x{10FFFF}]"
 
 
 def strip_accents(value: Column | str) -> Column:
@@ -102,7 +117,7 @@ def label_slug(value: Column | str) -> Column:
 
 def compact_slug(value: Column | str) -> Column:
     """Slug that deletes all but letters, digits, underscores and blanks, and joins words by underscores."""
-    text = F.regexp_replace(F.lower(to_ascii(value)), "[^a-z0-9_ ]", "")
+    text = F.lower(F.regexp_replace(strip_accents(value), _NOT_COMPACT, ""))
     return F.btrim(F.regexp_replace(text, " +", "_"), F.lit("_"))
 
 

@@ -1,6 +1,8 @@
 """Column functions on values whose result is known."""
 
 import datetime
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +141,25 @@ def test_sample_class_options(spark):
     assert late == ["nao_classificado"] * 3
     inclusive = [r[0] for r in rows.select(classify.sample_class("p", "l", inclusive_bounds=True)).collect()]
     assert inclusive == ["percentil_95", "nao_conforme", "nao_conforme"]
+
+
+def test_slugs_of_every_character(spark):
+    points = spark.range(1, sys.maxunicode + 1).filter("id < 55296 OR id > 57343")
+    chars = points.select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    assert chars.filter(F.col("c").rlike(text._SEVERAL) != F.col("c").isin(list(text._FOLD_SEVERAL))).count() == 0
+    v = F.concat(F.lit("A "), "c", F.lit("_b"))
+    plain = F.regexp_replace(F.lower(text.to_ascii(v)), "[^a-z0-9_ ]", "")
+    expected = F.btrim(F.regexp_replace(plain, " +", "_"), F.lit("_"))
+    assert chars.filter(text.compact_slug(v) != expected).count() == 0
+
+
+def test_a_compact_slug_takes_about_as_long_as_another(spark):
+    rows = spark.range(0, 4000, 1, 4).select(F.concat(F.repeat(F.lit("Plain words, in a row; "), 400), F.col("id").cast("string")).alias("v"))
+    rows = rows.localCheckpoint()
+    taken = {}
+    for _ in range(3):
+        for slug in (text.label_slug, text.compact_slug):
+            begin = time.perf_counter()
+            rows.select(F.max(F.md5(slug("v")))).collect()
+            taken[slug] = min(time.perf_counter() - begin, taken.get(slug, 1e9))
+    assert taken[text.compact_slug] < 4 * taken[text.label_slug]
