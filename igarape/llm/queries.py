@@ -81,8 +81,7 @@ def weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_lattice_sampling")
 def lattice_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    drawn = sample(read_table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
-    return drawn.withColumnRenamed("key", "doc_id")
+    return sample(read_table(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("key", "doc_id")
 
 
 @query("op11_source_audit", sql.SOURCE_AUDIT)

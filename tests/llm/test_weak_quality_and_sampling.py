@@ -1,12 +1,14 @@
 import collections
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
 
 from igarape.llm import weak_quality
 from igarape.llm.lattice_sampling import BLANK, Sampler, Vocabulary, sample
+from igarape.llm.queries import QUERIES
 from igarape.llm.weak_quality import LABELLERS, classify, fit_labels, pattern, votes
 
 FOLDER = "/root/testdata/sf0.01"
@@ -179,3 +181,12 @@ def test_a_very_long_text(vocabulary):
     (found,) = Sampler(vocabulary)([text], [1], 2)
     assert len(found) == 2 and all(vocabulary.decode(x[0]) == text for x in found)
     assert found[0][0].tolist() != found[1][0].tolist()
+
+
+def test_query_returns_the_sampled_pieces(spark, vocabulary, tmp_path):
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op8_lattice_sampling"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in rows} == set(range(len(TEXTS)))
+    for r in rows:
+        assert len(r["ids"]) == r["n_pieces"] and zlib.crc32(np.array(r["ids"], "<i4")) == r["ids_crc32"]
+        assert vocabulary.decode(r["ids"]) == (TEXTS[r["doc_id"]] or "").replace(BLANK, " ")
