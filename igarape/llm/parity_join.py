@@ -14,14 +14,16 @@ is rare, and then both sets of a pair that agrees in such blocks alone have all
 Sets that meet at a key are candidates if a second, shorter sketch differs in as few bits as the
 sizes allow. In a first round each set of a key is compared with its nearest partners' smallest, at
 keys of many sets with the smallest of its part, and the links found are contracted; that turns a
-group of near copies into one class. In a second round sets of different classes are compared,
-by a finer sketch first.
-Comparison is exact, on the shingles of both texts. Every linked pair meets at a key and is compared
-in the second round unless it is in one class already, so no link is lost.
+group of near copies into one class. In a second round sets of different classes that a finer sketch
+finds near at some key are gathered in families, the components of those pairs; pairs themselves are
+never written, a key gives a star of each family that it sees. All sets of a family are compared.
+Comparison is exact, on the shingles of both texts. Every linked pair meets at a key, and in the second
+round is in one family, unless it is in one class already; so no link is lost.
 
 Equal sets are one node, named by a 64-bit hash. The texts of the candidates are read again; a
 bitmap of bounded size tells which rows. A set met by many others is copied to as many tasks as they
-need; a key with many sets is compared in blocks. Words are lower-cased in A-Z only.
+need; a key with many sets is compared in blocks, a large family in pairs of parts. Words are
+lower-cased in A-Z only.
 
 Null, empty and blank texts have no set and are linked with nothing. Texts with fewer words than
 `width` have one shingle, all their words. Null ids take part, but never name a component unless all
@@ -42,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from igarape.llm.common import map_arrow, texts
-from igarape.llm.simhash import components
+from igarape.llm.simhash import _contract, components
 from igarape.session import cut_lineage
 
 # Growth of the bands' edges; about the least keys in all.
@@ -137,9 +139,9 @@ def sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
 def signature(shingles: np.ndarray, most: int, fine: bool = False) -> bytes:
     """A shorter sketch for one comparison: sets that share little differ in half of its bits, clearly more than `most`.
 
-    A `fine` one has eight bits for each of `most`, and tells apart sets that are nearly linked too.
+    A `fine` one has four bits for each of `most`, and tells apart sets that are less than nearly linked.
     """
-    size = 8 * most + 64 if fine else (8 + 2 * most + math.ceil(2.5 * math.sqrt(2 * most))) // 8 * 8 + 8
+    size = 4 * most + 64 if fine else (8 + 2 * most + math.ceil(2.5 * math.sqrt(2 * most))) // 8 * 8 + 8
     places = (shingles >> np.uint64(8) & np.uint64(0xFFFFFF)) % np.uint64(size)
     return np.packbits(np.bincount(places.astype("int64"), minlength=size) & 1).tobytes()
 
@@ -330,21 +332,9 @@ def _first_pairs(met: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.sortWithinPartitions("key", "sub", "node").mapInArrow(run, "a long, b long")
 
 
-def _verified(
-    pairs: DataFrame, docs: DataFrame, witnesses: DataFrame, text: str, width: int, num: int, den: int, bits: int, members: int
-) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are linked, by their shingles."""
-    groups = pairs.groupBy("b").agg((F.count("*") / members + 1).cast("long").alias("salts"))
-    sent = (
-        pairs.join(groups, "b")
-        .select(F.col("a").alias("node"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(1).alias("turn"))
-        .unionByName(
-            groups.select(
-                F.col("b").alias("node"), "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn")
-            )
-        )
-    )
-    sent = cut_lineage(sent.join(witnesses, "node"), "compared")
+def _with_texts(sent: DataFrame, docs: DataFrame, text: str, bits: int) -> DataFrame:
+    """The rows of `sent` with the text that has their `mark`; a text may come more than once."""
+    sent = cut_lineage(sent, "compared")
     known = Bitmap(sent.select("mark"), bits)
 
     def start():
@@ -363,8 +353,25 @@ def _verified(
         return one
 
     plain = docs.select(_mark(F.col(text)).alias("mark"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
-    read = map_arrow(plain, "mark long, text string", start)
-    dealt = read.join(sent, "mark").select("b", "salt", "turn", "node", "text").repartition("b", "salt")
+    return map_arrow(plain, "mark long, text string", start).join(sent, "mark")
+
+
+def _verified(
+    pairs: DataFrame, docs: DataFrame, witnesses: DataFrame, text: str, width: int, num: int, den: int, bits: int, members: int
+) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are linked, by their shingles."""
+    groups = pairs.groupBy("b").agg((F.count("*") / members + 1).cast("long").alias("salts"))
+    sent = (
+        pairs.join(groups, "b")
+        .select(F.col("a").alias("node"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(1).alias("turn"))
+        .unionByName(
+            groups.select(
+                F.col("b").alias("node"), "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn")
+            )
+        )
+    )
+    read = _with_texts(sent.join(witnesses, "node"), docs, text, bits)
+    dealt = read.select("b", "salt", "turn", "node", "text").repartition("b", "salt")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingled, own, shingles = Shingles(width), None, None
@@ -395,49 +402,54 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
+def _in_parts(rows: DataFrame, key: str, parts: Column) -> DataFrame:
+    """Rows with `sub`: those of a key are cut into `parts` (an aggregate), each pair of which shares a value.
+
+    A pair of parts (i, j) meets at i * parts + j with i <= j; each row goes to all that its part is in.
+    """
+    counted = rows.join(rows.groupBy(key).agg(parts.cast("long").alias("parts")), key)
+    count, own = F.col("parts"), F.pmod(F.xxhash64("node"), F.col("parts"))
+    every = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda i: F.least(i, own) * count + F.greatest(i, own))
+    return counted.withColumn("sub", F.explode(every)).drop("parts")
+
+
 def _near(rows: DataFrame, num: int, den: int, split_rows: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different classes at a key that may be linked."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n_rows"))
-    chunks = F.expr(f"n_rows div {split_rows} + 1")
-    chunk = F.pmod(F.xxhash64("node"), chunks)
-    # A pair of chunks (i, j) meets at i * chunks + j with i <= j; each row goes to all that its chunk is in.
-    every = F.transform(
-        F.sequence(F.lit(0).cast("long"), chunks - 1), lambda i: F.least(i, chunk) * chunks + F.greatest(i, chunk)
-    )
-    dealt = rows.join(sizes, "key").select("key", F.explode(every).alias("sub"), "node", "label", "sign", "n")
+    """Stars (a, b) that connect the nodes of different classes at a key that may be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        done: set[tuple[int, int]] = set()
+        found, size = [], 0
 
-        def pairs() -> pa.RecordBatch:
-            fresh = [p for p in _group_pairs(held, num, den) if p not in done]
-            if len(done) > 1 << 20:
-                done.clear()
-            done.update(fresh)
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in fresh], pa.int64()) for i in range(2)], ["a", "b"])
+        def stars() -> pa.RecordBatch:
+            left, right = np.concatenate(found, axis=1) if found else np.zeros((2, 0), "i8")
+            return pa.RecordBatch.from_arrays(list(map(pa.array, _contract(left, right))), ["a", "b"])
 
         for batch in batches:
             for row in zip(*[batch.column(i).to_pylist() for i in range(6)]):
                 if held and held[0][:2] != row[:2]:
-                    yield pairs()
+                    found.append(_group_stars(held, num, den))
+                    size += found[-1].shape[1]
                     held = []
+                    if size > 1 << 18:
+                        yield stars()
+                        found, size = [], 0
                 held.append(row)
         if held:
-            yield pairs()
+            found.append(_group_stars(held, num, den))
+            yield stars()
 
-    ordered = dealt.repartition("key", "sub").sortWithinPartitions("key", "sub")
+    ordered = _in_parts(rows, "key", F.expr(f"count(*) div {split_rows} + 1")).repartition("key", "sub").sortWithinPartitions("key", "sub")
     return ordered.select("key", "sub", "node", "label", "sign", "n").mapInArrow(run, "a long, b long")
 
 
-def _group_pairs(rows: list[tuple], num: int, den: int) -> list[tuple[int, int]]:
+def _group_stars(rows: list[tuple], num: int, den: int) -> np.ndarray:
     nodes, labels, sizes = (np.array([r[i] for r in rows]) for i in (2, 3, 5))
     if len(nodes) < 2 or (labels == labels[0]).all():
-        return []
+        return np.zeros((2, 0), "i8")
     signs = [r[4] for r in rows]
     at = np.append(0, np.cumsum(np.fromiter(map(len, signs), "int64", len(signs))))
     data = np.frombuffer(b"".join(signs), "u1")
-    found = []
+    stars = np.zeros((2, 0), "i8")
     for i in range(0, len(nodes), _BLOCK):
         for j in range(i, len(nodes), _BLOCK):
             apart = labels[i : i + _BLOCK, None] != labels[None, j : j + _BLOCK]
@@ -446,15 +458,70 @@ def _group_pairs(rows: list[tuple], num: int, den: int) -> list[tuple[int, int]]
             x, y = np.nonzero(apart)
             x, y = x + i, y + j
             near = _close(data, at, sizes, x, y, num, den)
-            found.append(np.stack((nodes[x[near]], nodes[y[near]])))
-    pairs = np.concatenate(found, axis=1)
-    return list(zip(pairs.max(axis=0).tolist(), pairs.min(axis=0).tolist())) if pairs.shape[1] else []
+            stars = np.stack(_contract(np.append(stars[0], nodes[x[near]]), np.append(stars[1], nodes[y[near]])))
+    return stars
+
+
+def _family_links(
+    families: DataFrame, docs: DataFrame, witnesses: DataFrame, text: str, width: int, num: int, den: int, bits: int, split_rows: int
+) -> DataFrame:
+    """Pairs (a, b) of linked nodes that connect all linked nodes within a family (node, root, label, n)."""
+    parts = F.expr(f"greatest(count(*) div {split_rows}, sum(n) div {512 * split_rows}) + 1")
+    read = _with_texts(_in_parts(families, "root", parts).join(witnesses, "node"), docs, text, bits)
+    dealt = read.select("root", "sub", "node", "label", "text").repartition("root", "sub").sortWithinPartitions("root", "sub")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingled, family, sets, labels = Shingles(width), None, {}, []
+
+        def links() -> pa.RecordBatch:
+            found = list(_linked_classes(list(sets.values()), np.array(labels), num, den))
+            nodes = np.array(list(sets))
+            pairs = np.array(found, "i8").reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(nodes[pairs[:, 1]]), pa.array(nodes[pairs[:, 0]])], ["a", "b"])
+
+        for batch in batches:
+            for root, sub, node, label, value in zip(*[batch.column(i).to_pylist() for i in range(4)], texts(batch.column(4))):
+                if family != (root, sub):
+                    if len(sets) > 1:
+                        yield links()
+                    family, sets, labels = (root, sub), {}, []
+                if node not in sets and node_of(found := shingled(value)) == node:  # else another text with the same mark
+                    sets[node] = found
+                    labels.append(label)
+        if len(sets) > 1:
+            yield links()
+
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _linked_classes(sets: list[np.ndarray], labels: np.ndarray, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Linked pairs (i, j) of sets of different classes; a pair found makes one class of two."""
+    sizes = np.fromiter(map(len, sets), "int64", len(sets))
+    blocks = (den - num) * int(sizes.max()) // num // 2 + 2  # 32 bits for each shingle by which linked sets may differ
+    sketches = np.stack([sketch(x, blocks) for x in sets])
+    for i in range(len(sets) - 1):
+        other = i + 1 + np.flatnonzero(labels[i + 1 :] != labels[i])
+        both = sizes[other] + sizes[i]
+        fits = den * np.minimum(sizes[other], sizes[i]) >= num * np.maximum(sizes[other], sizes[i])
+        other, both = other[fits], both[fits]
+        apart = np.concatenate(
+            [np.bitwise_count(sketches[part] ^ sketches[i]).sum(axis=1, dtype="int64") for part in np.split(other, range(256, len(other), 256))]
+        )
+        for j in other[(num + den) * apart <= (den - num) * both].tolist():
+            if labels[j] != labels[i] and linked(sets[i], sets[j], num, den):
+                yield i, j
+                labels[labels == labels[j]] = labels[i]
 
 
 def _labels(edges: DataFrame) -> DataFrame:
     return components(edges).select("node", F.col("root").alias("label"))
 
 
+def _members(rooted: DataFrame) -> DataFrame:
+    """(node, root) with the roots themselves, which `components` leaves out."""
+    return rooted.select("node", "root").unionByName(rooted.select(F.col("root").alias("node"), "root").distinct())
+
+
 def near_sets(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -495,7 +562,11 @@ def near_sets(
     signs = signs.select("node", "place", "n", F.col("sketch.fine").alias("sign"))
     signs = signs.join(several.select("node", "place").distinct(), ["node", "place"], "left_semi").dropDuplicates(["node", "place"])
     near = _near(several.join(signs, ["node", "place"]), num, den, split_rows)
-    edges = edges.unionByName(verified(cut_lineage(near.distinct(), "near")))
+    classes = several.groupBy("node").agg(F.first("label").alias("label"))
+    counted = rows.filter("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"))
+    families = _members(components(near)).join(classes, "node").join(counted, "node")
+    met_again = _family_links(families, docs, witnesses, text, width, num, den, bits, split_rows)
+    edges = edges.unionByName(cut_lineage(met_again.distinct(), "linked"))
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(_labels(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = rooted.groupBy("label").agg(F.min("least").alias("component_id"))

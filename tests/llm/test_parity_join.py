@@ -173,3 +173,16 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert ordered(QUERIES["op12_parity_join"](spark, folder).collect()) == ordered(brute(rows))
+
+
+def test_near_sets_of_a_key_give_a_star_and_their_family_is_compared():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 200, dtype="u8")
+    sets = [np.unique(np.append(base[k % 4 * 3 :], rng.integers(0, 1 << 63, 3 * (k % 9), dtype="u8"))) for k in range(60)]
+    most, _ = Bands(85, 100).shape(Bands(85, 100).of(200)[-1])
+    rows = [(1, 0, k, k, signature(x, most, True), len(x)) for k, x in enumerate(sets)]
+    stars = parity_join._group_stars(rows, 85, 100)
+    assert stars.shape == (2, 59) and (stars[1] == 0).all()
+    pairs = {(i, j) for j in range(60) for i in range(j) if parity_join.linked(sets[i], sets[j], 85, 100)}
+    found = list(parity_join._linked_classes(sets, np.arange(60), 85, 100))
+    assert len(pairs) > 500 and set(found) <= pairs and len(found) <= 59
