@@ -8,8 +8,10 @@ most d blocks: of B > d blocks at least B - d are equal.
 
 Set sizes are cut into bands, each with its own u and B. A set has keys in its band, and in the
 band below where a set near enough may lie there; a key is a hash of band, block number and bits.
-Blocks without bits give no key, unless a set has B - d or more of them: B is chosen so that this
-is rare, and then both sets of a pair that agrees in such blocks alone have all their keys.
+Only the d + 1 blocks with the most bits give keys (of equally many, those with the highest numbers),
+where d is the most that sets linked with one of its own size may differ in: blocks with few bits are
+those that sets share by chance. Of the blocks that two linked sets share, take the one with the most
+bits. In either set the other shared blocks, B - d - 1 or more, have fewer, so it is a key of both.
 
 Sets that meet at a key are candidates if a second, shorter sketch differs in as few bits as the
 sizes allow. In a first round each set of a key is compared with its nearest partners' smallest, at
@@ -113,6 +115,13 @@ class Bands:
         below = own > 0 and size <= (self.edges[own] - 1) * self.den // self.num
         return [own - 1, own] if below else [own]
 
+    def differing(self, size: int, band: int) -> int:
+        """The most shingles by which a set of this size differs from one linked with it, the smaller of both in this band."""
+        self._until(size)
+        largest = self.edges[band + 1] - 1
+        other = size * self.den // self.num if size <= largest else largest
+        return (self.den - self.num) * (size + other) // (self.den + self.num)
+
     @cache
     def shape(self, band: int) -> tuple[int, int]:
         """(d, B): the largest difference of a linked pair, and the number of blocks; B = 0 where only equal sets link."""
@@ -121,11 +130,7 @@ class Bands:
         most = (self.den - self.num) * (self.edges[band + 1] - 1) // self.num
         if not most:
             return 0, 0
-        blocks = most + 1
-        for _ in range(4):
-            empty = blocks * math.exp(-self.edges[band] / blocks)
-            blocks = most + 2 + math.ceil(empty + 3 * math.sqrt(empty))
-        return most, blocks
+        return most, most + 1 + math.isqrt(most) + 1  # some to choose from, yet few, so that blocks have many bits
 
 
 def sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
@@ -147,10 +152,11 @@ def signature(shingles: np.ndarray, most: int, fine: bool = False) -> bytes:
 
 
 def keys_of(parities: np.ndarray, band: int, most: int) -> np.ndarray:
+    """Keys of the `most` + 1 blocks with the most bits."""
     number = np.arange(len(parities), dtype="u8") + np.uint64(band << 40)
     keys = _mixed(parities + _mixed(number + np.uint64(1)))
-    filled = parities != 0
-    return (keys[filled] if int(filled.sum()) > most else keys).view("i8")
+    order = np.argsort(np.bitwise_count(parities), kind="stable")
+    return keys[order[-most - 1 :]].view("i8")
 
 
 _SETS = "doc_id long, mark long, node long, n_shingles long, sketches array<struct<sign: binary, keys: array<long>, fine: binary>>"
@@ -175,8 +181,8 @@ def sketched(docs: DataFrame, doc_id: str, text: str, width: int, num: int, den:
                     seen.add(node)
                     for band in bands.of(len(shingles)):
                         most, blocks = bands.shape(band)
-                        if blocks:
-                            keys = keys_of(sketch(shingles, blocks), band, most)
+                        if differing := bands.differing(len(shingles), band):
+                            keys = keys_of(sketch(shingles, blocks), band, differing)
                             rows.append({"sign": signature(shingles, most), "keys": keys, "fine": signature(shingles, most, True)})
                 found.append(rows)
             columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, kind)]

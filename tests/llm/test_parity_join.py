@@ -186,3 +186,42 @@ def test_near_sets_of_a_key_give_a_star_and_their_family_is_compared():
     pairs = {(i, j) for j in range(60) for i in range(j) if parity_join.linked(sets[i], sets[j], 85, 100)}
     found = list(parity_join._linked_classes(sets, np.arange(60), 85, 100))
     assert len(pairs) > 500 and set(found) <= pairs and len(found) <= 59
+
+
+def test_keys_are_the_blocks_with_the_most_bits_and_linked_sets_share_one():
+    rng = np.random.default_rng(9)
+    bands, pairs = Bands(85, 100), 0
+    for size in [*range(1, 60), *rng.integers(60, 2000, 120).tolist()]:
+        whole = np.unique(rng.integers(0, 1 << 64, size, dtype="u8"))
+        for _ in range(6):
+            gone, new = rng.integers(0, size * 18 // 100 + 2, 2).tolist()
+            other = np.unique(np.concatenate((rng.permutation(whole)[gone:], rng.integers(0, 1 << 64, new, dtype="u8"))))
+            common = len(np.intersect1d(whole, other))
+            if not len(other) or 100 * common < 85 * (len(whole) + len(other) - common) or len(other) == common == len(whole):
+                continue
+            pairs += 1
+            keys = []
+            for x in (whole, other):
+                keys.append(set())
+                for band in bands.of(len(x)):
+                    most, blocks = bands.shape(band)
+                    differing = bands.differing(len(x), band)
+                    assert differing <= most
+                    if differing:
+                        parities = sketch(x, blocks)
+                        found = keys_of(parities, band, differing).tolist()
+                        assert len(found) == differing + 1 <= 15 * len(x) // 85 + 1
+                        kept = np.isin(keys_of(parities, band, blocks), found)  # ascending by bits
+                        assert kept[-len(found) :].all() and not kept[: -len(found)].any()
+                        keys[-1] |= set(found)
+            assert keys[0] & keys[1], (size, gone, new)
+    assert pairs > 200
+
+
+def test_few_keys_are_shared_by_chance(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(str(rng.randrange(100000)) for _ in range(rng.randrange(100, 140)))) for i in range(4000)]
+    sets = parity_join.sketched(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 4, 85, 100)
+    counts = sets.select(F.explode(F.flatten("sketches.keys")).alias("key")).groupBy("key").count()
+    found = counts.agg(F.sum("count").alias("all"), F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("shared")).first()
+    assert found["all"] < 40 * 4000 and found["shared"] < 0.05 * found["all"]
